@@ -18,6 +18,7 @@ def local_session(cores: int | str = "*", app: str = "textloom") -> SparkSession
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
 
