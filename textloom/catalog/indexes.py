@@ -104,5 +104,5 @@ def index_for(spark: SparkSession, sf: str, name: str) -> Collection:
     key = (spark.sparkContext.applicationId, sf, name)
     if key not in _built:
         docs, mapping, settings, sort = _SPECS[name]
-        _built[key] = Collection.create(spark, new_table_path(spark, name), docs(spark, sf), mapping, settings, list(sort), buckets=16)
+        _built[key] = Collection.create(spark, new_table_path(spark, name), docs(spark, sf), mapping, settings, list(sort), buckets=4)
     return _built[key]

@@ -53,6 +53,8 @@ class Search:
         if self.match_all and not (self.must or self.filter or self.should or self.must_not):
             return Q.MatchAll()
         must = self.must + ((Q.MatchAll(),) if self.match_all else ())
+        if len(must + self.should) == 1 and not (self.filter or self.must_not):
+            return (must + self.should)[0]
         return Q.Bool(must, self.filter, self.should, self.must_not)
 
     def page(self) -> int | None:
@@ -128,7 +130,7 @@ def run(index: Collection, request: Search) -> DataFrame:
             keys = c.rows.select("_id", F.round("score", SCORE_DIGITS).alias("_score"))
             top = keys.orderBy(*best_first).offset(request.from_).limit(page)
             cols = source_columns(index.docs, request.source)
-            return index.docs.select("_id", *cols).join(F.broadcast(top), "_id").select("_id", "_score", *cols).orderBy(*best_first)
+            return index.docs.select("_id", *cols).join(F.broadcast(top), "_id").select("_id", "_score", *cols).orderBy(*best_first).limit(page)
 
     df = matched(index, request)
     cols = [c for c in source_columns(index.docs, request.source)]

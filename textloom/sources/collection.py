@@ -27,6 +27,14 @@ from textloom.plans.mapping import TEXT_TYPES, Field, Mapping, evolve
 from textloom.session import spread
 
 
+SCHEMAS = {
+    "forward": f"field string, _id string, dl bigint, terms {P.TERMS}",
+    "postings": "token string, _id string, tf bigint, dl bigint, positions array<int>, field string, term_bucket int",
+    "vocabulary": "token string, df bigint, ttf bigint, field string, term_bucket int",
+    "field_stats": "field string, n_docs bigint, n_tokens bigint",
+}
+
+
 @dataclass(frozen=True)
 class TextField:
     """A text field as it is indexed: where its values are and how they are cut."""
@@ -74,7 +82,7 @@ def text_fields(mapping: Mapping, settings: AnalysisSettings) -> dict[str, TextF
 def forward_table(docs: DataFrame, fields: dict[str, TextField]) -> DataFrame:
     """Analyze all text fields of a document in one pass over its row (no shuffle)."""
     if not fields:
-        return docs.sparkSession.createDataFrame([], f"field string, _id string, dl bigint, terms {P.TERMS}")
+        return docs.sparkSession.createDataFrame([], SCHEMAS["forward"])
 
     def one(f: TextField) -> Column:
         value = F.col(f.column)
@@ -104,6 +112,8 @@ class Collection:
         self.buckets: int = meta["buckets"]
         self.sort: list[tuple[str, str]] = [tuple(s) for s in meta["sort"]]
         self.text = text_fields(self.mapping, self.settings)
+        # a version never changes, so its files are listed once
+        self._read: dict[str, DataFrame] = {}
         # one row per field of the mapping: a bounded read
         self.stats = {r["field"]: FieldStats(r["n_docs"], r["n_tokens"]) for r in self._table("field_stats").collect()}
         self.schema_on_read: T.StructType = T.StructType.fromJson(json.loads(meta["schema"]))
@@ -133,13 +143,16 @@ class Collection:
         return f"{self.path}/{table}/v={self.version}"
 
     def _table(self, table: str) -> DataFrame:
-        return self.spark.read.parquet(self._dir(table))
+        if table not in self._read:
+            schema = self.schema_on_read if table == "docs" else SCHEMAS[table]
+            self._read[table] = self.spark.read.schema(schema).parquet(self._dir(table))
+        return self._read[table]
 
     # --- reading
 
     @property
     def docs(self) -> DataFrame:
-        return self.spark.read.schema(self.schema_on_read).parquet(self._dir("docs"))
+        return self._table("docs")
 
     @property
     def forward(self) -> DataFrame:
@@ -221,11 +234,11 @@ def _write(spark, path, version, docs, forward, mapping, settings, sort, buckets
         return f"{path}/{table}/v={version}"
 
     sorted_docs(docs, sort).write.mode("overwrite").parquet(at("docs"))
-    stored = spark.read.parquet(at("docs"))
+    stored = spark.read.schema(docs.schema).parquet(at("docs"))
     if forward is None:
         forward = forward_table(spread(stored), text_fields(mapping, settings))
     forward.write.mode("overwrite").parquet(at("forward"))
-    forward = spark.read.parquet(at("forward"))
+    forward = spark.read.schema(SCHEMAS["forward"]).parquet(at("forward"))
     for name, table in (("postings", P.postings(forward, buckets)), ("vocabulary", P.vocabulary(forward, buckets))):
         # rebalance: adaptive execution splits the bucket of a very common term and merges small ones
         (
