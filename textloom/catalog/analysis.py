@@ -277,13 +277,13 @@ def tf_fingerprint(spark, sf):
 
 
 def _sql_hash(seed: str, token: str) -> str:
-    return f"CAST('0x' || substr(md5({seed} || ':' || {token}), 1, 8) AS BIGINT)"
+    return f"CAST('0x' || substr(md5(({seed} // 4) || ':' || {token}), CAST(1 + 8 * ({seed} % 4) AS BIGINT), 8) AS BIGINT)"
 
 
 _BIGRAMS = f"SELECT _id, token || ' ' || nxt AS token FROM (SELECT *, lead(token) OVER (PARTITION BY _id ORDER BY position) AS nxt FROM ({sql_tokens(STD_LOW)}) s2) s3 WHERE nxt IS NOT NULL"
 _MIN_HASHES = f"""
     SELECT _id, seed, h * 8 // 4294967296 AS bucket, min(h) AS h FROM (
-      SELECT _id, seed, {_sql_hash("CAST(seed AS VARCHAR)", "token")} AS h FROM ({_BIGRAMS}) s4, (SELECT unnest(range(0, 2)) AS seed) s5) s6
+      SELECT _id, seed, {_sql_hash("seed", "token")} AS h FROM ({_BIGRAMS}) s4, (SELECT unnest(range(0, 2)) AS seed) s5) s6
     GROUP BY ALL"""
 
 

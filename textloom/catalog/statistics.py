@@ -64,7 +64,7 @@ def _trigrams(source: str, _id: str) -> str:
 
 
 def _signature(source: str, _id: str) -> str:
-    return f"SELECT _id, seed, min(CAST('0x' || substr(md5(seed || ':' || s), 1, 8) AS BIGINT)) AS h FROM ({_trigrams(source, _id)}) g, (SELECT unnest(range(0, 16)) AS seed) k GROUP BY 1, 2"
+    return f"SELECT _id, seed, min(CAST('0x' || substr(md5((seed // 4) || ':' || s), 1 + 8 * (seed % 4), 8) AS BIGINT)) AS h FROM ({_trigrams(source, _id)}) g, (SELECT unnest(range(0, 16)) AS seed) k GROUP BY 1, 2"
 
 
 @register(

@@ -19,8 +19,12 @@ def _best(df: DataFrame, keys: list[str], size: int) -> DataFrame:
 
 def _prefixes(suggestions: DataFrame, lengths: Column) -> DataFrame:
     """Every suggestion once per prefix length that some query has."""
-    fits = F.filter(lengths, lambda n: n <= F.length("input"))
-    return suggestions.withColumn("n", F.explode(fits)).withColumn("prefix", F.lower(F.substring(F.col("input"), F.lit(1), F.col("n")))).drop("n")
+    own = F.sequence(F.lit(1), F.least(F.length("input"), F.lit(MAX_PREFIX)))
+    fits = suggestions.where(F.length("input") > 0).withColumn("ns", lengths).withColumn("ns", F.array_intersect("ns", own))
+    return (
+        fits.withColumn("n", F.explode("ns"))
+        .withColumn("prefix", F.lower(F.substring(F.col("input"), F.lit(1), F.col("n")))).drop("ns", "n")
+    )
 
 
 def _lengths(queries: DataFrame) -> Column:

@@ -816,9 +816,17 @@ class Fingerprint:
         )
 
 
-def hash32(token: Column, seed: int) -> Column:
-    """First 32 bits of an md5, as a number every engine can compute."""
-    return F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), token)), 1, 8), 16, 10).cast("bigint")
+HASHES_PER_DIGEST = 4
+
+
+def digest(token: Column, no: int) -> Column:
+    """md5 of a numbered token; it serves four hash functions of 32 bits."""
+    return F.md5(F.concat(F.lit(f"{no}:"), token))
+
+
+def hash32(digest_hex: Column, part: int) -> Column:
+    """Eight hex digits of a digest, as a number every engine can compute."""
+    return F.conv(F.substring(digest_hex, 1 + 8 * part, 8), 16, 10).cast("bigint")
 
 
 @dataclass(frozen=True)
@@ -841,20 +849,38 @@ class MinHash:
         rotate = self.bucket_count > 1 if self.with_rotation is None else self.with_rotation
         m = self.hash_set_size
 
-        def per_seed(words: Column, seed: int) -> Column:
-            hashes = F.sort_array(F.array_distinct(F.transform(words, lambda w: hash32(w, seed))))
+        def chosen(hashes: Column) -> Column:
+            """Sorted ``(bucket, hash)`` pairs that survive, for one hash function."""
+            if self.bucket_count == 1 and m == 1:
+                pair = F.struct(F.lit(0).alias("b"), F.array_min(hashes).alias("h"))
+                return F.when(F.size(hashes) > 0, F.array(pair)).otherwise(F.array().cast("array<struct<b:int,h:bigint>>"))
 
             def smallest(hs: Column) -> Column:
                 kept = F.filter(hs, lambda h, i: (i < m) | (self.bucket(F.get(hs, F.greatest(i - m, F.lit(0)))) != self.bucket(h)))
                 found = F.transform(kept, lambda h: F.struct(self.bucket(h).alias("b"), h.alias("h")))
                 return let(found, lambda f: _rotated(f, self.bucket_count, m) if rotate else f)
 
-            return F.transform(
-                let(hashes, smallest), lambda e: F.concat_ws(":", F.lit(str(seed)), e["b"].cast("string"), e["h"].cast("string"))
-            )
+            return let(F.sort_array(F.array_distinct(hashes)), smallest)
+
+        def per_digest(words: Column, no: int) -> Column:
+            seeds = range(no * HASHES_PER_DIGEST, min((no + 1) * HASHES_PER_DIGEST, self.hash_count))
+
+            def tokens(digests: Column) -> Column:
+                return F.concat(
+                    *[
+                        F.transform(
+                            let(F.transform(digests, lambda d: hash32(d, seed % HASHES_PER_DIGEST)), chosen),
+                            lambda e: F.concat_ws(":", F.lit(str(seed)), e["b"].cast("string"), e["h"].cast("string")),
+                        )
+                        for seed in seeds
+                    ]
+                )
+
+            return let(F.transform(words, lambda w: digest(w, no)), tokens)
 
         words = F.array_distinct(F.transform(ts.array(), lambda t: t["token"]))
-        out = let(words, lambda w: F.concat(*[per_seed(w, s) for s in range(self.hash_count)]))
+        n = -(-self.hash_count // HASHES_PER_DIGEST)
+        out = let(words, lambda w: F.concat(*[per_digest(w, no) for no in range(n)]))
         return Tokens(F.transform(out, lambda w, i: F.struct(w.alias("token"), i.alias("position"))))
 
 
