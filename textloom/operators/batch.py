@@ -24,6 +24,7 @@ from textloom.operators.analyzers import Analyzer
 from textloom.operators.postings import terms_of
 from textloom.operators.similarity import K1, bm25, idf
 from textloom.plans.search import SCORE_DIGITS
+from textloom.session import materialize
 from textloom.sources.collection import Collection
 
 MARGIN = 10.0 ** -(SCORE_DIGITS - 1)
@@ -76,6 +77,8 @@ def distinct_queries(queries: DataFrame, analyzer: Analyzer) -> tuple[DataFrame,
     """``(terms, members)``: the terms of each distinct content, and which queries have it."""
     terms = queries.select("query_id", terms_of(analyzer.array(F.col("text")), positions=False).alias("terms"))
     keyed = terms.withColumn("key", F.sha2(F.to_json(F.transform("terms", lambda t: F.struct(t["token"], t["tf"]))), 256))
+    # many branches read the terms; the texts are analyzed once
+    keyed = materialize(keyed, "query-terms")
     members = keyed.select("query_id", "key")
     # equal content has equal terms: the first of each key, combined before the shuffle
     content = keyed.groupBy("key").agg(F.first("terms").alias("terms"))
