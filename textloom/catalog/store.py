@@ -10,7 +10,7 @@ from textloom.catalog.indexes import DOCUMENTS, ORDERS, index_for, orders
 from textloom.functions.dates import parse_date
 from textloom.operators.analyzers import AnalysisSettings
 from textloom.plans.mapping import Field, Mapping
-from textloom.session import new_table_path
+from textloom.session import new_table_path, spread
 from textloom.sources import collection as C, ingest as I
 from textloom.sources.collection import Collection
 
@@ -220,7 +220,7 @@ _DATE_FORMATS = {
 
 @register("date_formats", "SELECT CAST(o_orderkey AS VARCHAR) AS _id, " + ", ".join(f"CAST({duck} AS TIMESTAMP) AS d{i}" for i, (_, duck) in enumerate(_DATE_FORMATS.values())) + " FROM (SELECT o_orderkey, CAST(o_orderdate AS TIMESTAMP) AS d FROM orders) o")
 def date_formats(spark, sf):
-    df = orders(spark, sf).select("_id", F.col("o_orderdate").alias("d"))
+    df = spread(orders(spark, sf).select("_id", F.col("o_orderdate").alias("d")))
     cols = [parse_date(F.expr(text), name).cast("timestamp_ntz").alias(f"d{i}") for i, (name, (text, _)) in enumerate(_DATE_FORMATS.items())]
     return df.select("_id", *cols)
 

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 # Named formats and their datetime patterns, tried in order.
-_MS = "[.SSSSSSSSS][.SSSSSS][.SSS]"
 _T = "HH:mm:ss"
 _Z = "[XXX][XX][X]"
 PATTERNS: dict[str, tuple[str, ...]] = {
@@ -72,25 +71,38 @@ def parse_date(col: Column, fmt: str | None = None) -> Column:
     name = fmt.removeprefix("strict_").removesuffix("_nanos")
     if name in WEEKS:
         return _week(col, *WEEKS[name])
-    patterns = PATTERNS.get(name, (fmt,))
     tries = []
-    for p in patterns:
-        value, pattern = col, p
-        if name in PATTERNS and not p.startswith(("yyyy",)):
+    for pattern in PATTERNS.get(name, (fmt,)):
+        value = col
+        if name in PATTERNS and not pattern.startswith("yyyy"):
             # a time of day is a time on the first day of the epoch
-            value, pattern = F.concat(F.lit("1970-01-01 "), col), f"yyyy-MM-dd {p}"
-        for zone in ("XXX", "XX") if _Z in pattern else ("",):
-            parsed = F.try_to_timestamp(value, F.lit(pattern.replace(_Z, zone)))
-            tries.append(parsed)
-    parsed = F.coalesce(*tries)
-    if fmt.startswith("strict_") and name in PATTERNS:
-        parsed = F.when(col.rlike(_strict(name)), parsed)
-    return parsed
+            value, pattern = F.concat(F.lit("1970-01-01 "), col), f"yyyy-MM-dd {pattern}"
+        for zone in ZONES if _Z in pattern else ("",):
+            full = pattern.replace(_Z, zone)
+            parsed = F.try_to_timestamp(value, F.lit(full))
+            # named patterns have a fixed shape: test it first, as a failed parse is far dearer than a regex
+            tries.append(F.when(value.rlike(shape(full)), parsed) if name in PATTERNS else parsed)
+    return F.coalesce(*tries)
 
 
-def _strict(name: str) -> str:
-    """Digit widths of a strict format: four for the year, two or three for the rest."""
-    return r"^(?:T?\d{2}(?:\D.*)?|\d{4}(?:\D\d{2,3}(?:\D.*)?)?)$"
+# Zone letters and the texts they stand for.
+ZONES = {"XXX": r"(?:Z|[+-]\d{2}:\d{2})", "XX": r"[+-]\d{4}"}
+
+
+def shape(pattern: str) -> str:
+    """Regex of the texts that a datetime pattern can read, digit by digit."""
+    out, i = "^", 0
+    while i < len(pattern):
+        c = pattern[i]
+        zone = next((z for z in ZONES if pattern.startswith(z, i)), None)
+        if zone:
+            out, i = out + ZONES[zone], i + len(zone)
+        elif c == "'":
+            end = pattern.index("'", i + 1)
+            out, i = out + pattern[i + 1 : end], end + 1
+        else:
+            out, i = out + (r"\d" if c.isalpha() else "\\" + c), i + 1
+    return out + "$"
 
 
 def _week(col: Column, dashes: bool, with_week: bool, with_day: bool, time: str | None) -> Column:

@@ -57,7 +57,7 @@ class Analyzer:
         if offsets:
             ts = Tokens(self.tokenizer.apply_with_offsets(text), ("token", "position", "type", "start_offset", "end_offset"))
         else:
-            ts = Tokens(self.tokenizer.apply(text, types), ("token", "position") + (("type",) if types else ()))
+            ts = Tokens(self.tokenizer.apply(text), ("token", "position") + (("type",) if types else ()), plain=True)
         for f in self.filters:
             ts = f.apply(ts)
         return ts

@@ -1,19 +1,20 @@
 """A table of queries against the collection: the best k documents of each.
 
 Very common terms are the danger: joined directly, each pairs all of its queries
-with all of its documents. So terms are split by document frequency:
+with all of its documents. So terms are taken in order of their frequency:
 
 1. The rare terms are joined and summed; the k-th best partial score of a query
    is a lower bound for its final k-th score.
-2. The common terms of a query can add at most the sum of their upper bounds. A
-   document whose partial score plus that sum stays below the bound is out, and
-   where the sum alone stays below, documents without any rare term are out too.
-3. Common terms are then looked up only for the remaining candidates, by an
-   equi-join on term and document. Queries for which the bound does not help
-   are joined with their common terms in full.
+2. Going down from its most common term, a query can spare as many terms as have
+   upper bounds that together stay below that bound: a document with none of the
+   other terms cannot be among the best.
+3. The terms that cannot be spared are joined in full. A document whose score plus
+   the spared terms' bounds stays below the k-th bound is out; for the others the
+   spared terms are looked up by an equi-join on term and document.
 
 Nothing is dropped that could be in the result, so the outcome equals scoring
-every pair. Queries of equal content are answered once.
+every pair. Queries of equal content are answered once. Each step is written to
+the shared folder: several branches read it, and a lost executor costs one step.
 """
 
 from __future__ import annotations
@@ -33,38 +34,39 @@ MARGIN = 10.0 ** -(SCORE_DIGITS - 1)
 def top_matches(wanted: DataFrame, postings: DataFrame, score: Column, k: int) -> DataFrame:
     """``(query_id, rank, _id, _score)``.
 
-    ``wanted``: (query_id, token, ub, common, ...) with ``ub`` at least the score
-    the token can give; ``postings``: (token, _id, ...); ``score`` is positive and
-    over the columns of both.
+    ``wanted``: (query_id, token, ub, df, common, ...) with ``ub`` at least the
+    score the token can give; ``postings``: (token, _id, ...); ``score`` is
+    positive and over the columns of both.
     """
-    rare, common = wanted.where(~F.col("common")), wanted.where("common")
+    wanted = materialize(wanted, "query-weights")
 
     def scored(w: DataFrame) -> DataFrame:
         return w.join(postings, "token").select("query_id", "_id", score.alias("score"))
 
-    partial = scored(rare).groupBy("query_id", "_id").agg(F.sum("score").alias("score"))
-    rest = common.groupBy("query_id").agg(F.sum("ub").alias("rest"))
-    kth = ranked(partial, k).groupBy("query_id").agg(F.min("score").alias("low"), F.count(F.lit(1)).alias("n"))
-    bounds = (
-        wanted.select("query_id").distinct().join(rest, "query_id", "left").join(kth, "query_id", "left")
-        .select(
-            "query_id", F.coalesce("rest", F.lit(0.0)).alias("rest"),
-            F.when(F.col("n") >= k, F.col("low") - MARGIN).otherwise(F.lit(0.0)).alias("low"),
-        )
+    def summed(df: DataFrame) -> DataFrame:
+        return df.groupBy("query_id", "_id").agg(F.sum("score").alias("score"))
+
+    partial = materialize(summed(scored(wanted.where(~F.col("common")))), "rare-scores")
+    low = (
+        ranked(partial, k).groupBy("query_id").agg(F.min("score").alias("low"), F.count(F.lit(1)).alias("n"))
+        .where(F.col("n") >= k).select("query_id", (F.col("low") - MARGIN).alias("low"))
     )
-    closed = F.col("rest") < F.col("low")
-    candidates = partial.join(bounds, "query_id").where(F.col("score") + F.col("rest") >= F.col("low")).select("query_id", "_id", "score", closed.alias("closed"))
-    # candidates of closed queries: only they meet the common terms
+    # the terms of one query, most common first: as many as stay below the bound can be spared
+    so_far = Window.partitionBy("query_id").orderBy(F.desc("df"), "token").rowsBetween(Window.unboundedPreceding, 0)
+    common = wanted.where("common").join(low, "query_id", "left").withColumn("rest", F.sum("ub").over(so_far))
+    common = materialize(common.withColumn("spared", F.coalesce(F.col("rest") < F.col("low"), F.lit(False))), "common-terms")
+    spared = common.where("spared").drop("low", "rest", "common", "spared")
+    bounds = common.where("spared").groupBy("query_id").agg(F.max("rest").alias("rest"), F.max("low").alias("low"))
+
+    sure = summed(partial.unionByName(scored(common.where(~F.col("spared")))))
+    open_to = F.col("low").isNull() | (F.col("score") + F.col("rest") >= F.col("low"))
+    candidates = materialize(sure.join(bounds, "query_id", "left").where(open_to).select("query_id", "_id", "score"), "candidates")
     looked_up = (
-        candidates.where("closed").select("query_id", "_id").join(common, "query_id")
+        candidates.select("query_id", "_id").join(spared, "query_id")
         .join(postings, ["token", "_id"]).select("query_id", "_id", score.alias("score"))
     )
-    open_common = common.join(bounds.where(~closed).select("query_id"), "query_id", "left_semi")
-    every = candidates.select("query_id", "_id", "score").unionByName(looked_up).unionByName(scored(open_common))
-    final = every.groupBy("query_id", "_id").agg(F.sum("score").alias("score"))
-    return ranked(final.withColumn("score", F.round("score", SCORE_DIGITS)), k).select(
-        "query_id", "rank", "_id", F.col("score").alias("_score")
-    )
+    final = summed(candidates.unionByName(looked_up)).withColumn("score", F.round("score", SCORE_DIGITS))
+    return ranked(final, k).select("query_id", "rank", "_id", F.col("score").alias("_score"))
 
 
 def ranked(df: DataFrame, k: int) -> DataFrame:
@@ -117,7 +119,7 @@ def similar_documents(index: Collection, queries: DataFrame, field: str, k: int
     vocab = index.vocabulary(field).select("token", "df")
     size = terms.groupBy("query_id").agg(F.count(F.lit(1)).alias("size"))
     wanted = terms.join(size, "query_id").join(vocab, "token").select(
-        "query_id", "token", (F.lit(1.0) / F.col("size")).alias("ub"), (F.col("df") > common_share * stats.n_docs).alias("common")
+        "query_id", "token", "df", (F.lit(1.0) / F.col("size")).alias("ub"), (F.col("df") > common_share * stats.n_docs).alias("common")
     )
     rows = index.postings(field).select("token", "_id")
     return expand_members(top_matches(wanted, rows, F.col("ub"), k), members)

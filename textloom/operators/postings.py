@@ -18,8 +18,7 @@ TERMS = "array<struct<token:string,tf:int,positions:array<int>>>"
 
 def terms_of(tokens: Column, positions: bool = True, freqs: bool = True) -> Column:
     """Token array to ``array<struct<token, tf, positions>>``, one entry per distinct token."""
-    pairs = F.sort_array(F.transform(tokens, lambda t: F.struct(t["token"].alias("token"), t["position"].alias("position"))))
-
+    # structs sort by token, then by position
     def build(a: Column) -> Column:
         end = F.size(a) + 1
 
@@ -35,7 +34,7 @@ def terms_of(tokens: Column, positions: bool = True, freqs: bool = True) -> Colu
 
         return F.when(F.size(a) > 0, let(run_starts(a, lambda p: p["token"]), entries)).otherwise(F.array().cast(TERMS))
 
-    return let(pairs, build)
+    return let(F.sort_array(tokens), build)
 
 
 def term_bucket(token: Column, buckets: int) -> Column:

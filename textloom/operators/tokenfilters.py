@@ -17,31 +17,37 @@ from pyspark.sql import Column, functions as F
 from textloom.functions import charmaps, phonetic
 from textloom.functions.arrays import first_per_key, let
 from textloom.operators.charfilters import replace_pattern
-from textloom.operators.tokenizers import grams
+from textloom.operators.tokenizers import grams, token_type
 
 Rewrite = Callable[[Column], Column]
 
 
 @dataclass(frozen=True)
 class Tokens:
-    """An array of token structs and the names of the struct's fields."""
+    """An array of token structs and the names of the struct's fields.
+
+    Fresh from the tokenizer ``column`` still holds plain words (``plain``).
+    """
 
     column: Column
     fields: tuple[str, ...] = ("token", "position")
     pending: tuple[Rewrite, ...] = ()
+    plain: bool = False
 
     def array(self) -> Column:
-        """The array with all pending rewrites applied in one pass."""
-        if not self.pending:
-            return self.column
+        """The structs, with all pending rewrites applied in the same pass."""
 
-        def one(t: Column) -> Column:
-            token = t["token"]
+        def rewritten(token: Column) -> Column:
             for rewrite in self.pending:
                 token = rewrite(token)
-            return self.struct(t, token=token)
+            return token
 
-        return F.transform(self.column, one)
+        if self.plain:
+            made = {"token": lambda w, i: rewritten(w), "position": lambda w, i: i, "type": lambda w, i: token_type(w)}
+            return F.transform(self.column, lambda w, i: F.struct(*[made[f](w, i).alias(f) for f in self.fields]))
+        if not self.pending:
+            return self.column
+        return F.transform(self.column, lambda t: self.struct(t, token=rewritten(t["token"])))
 
     def struct(self, base: Column, **changes: Column) -> Column:
         """The struct of ``base`` with some fields replaced."""
@@ -513,6 +519,10 @@ class WordDelimiter:
             token = t["token"]
             base = F.regexp_replace(token, "['’][sS]$", "") if self.stem_english_possessive else token
 
+            def one(w: Column, length: Column) -> Column:
+                cols = [(w if f == "token" else t[f]).alias(f) for f in ts.fields]
+                return F.struct(*cols, *([length.alias("position_length")] if len(fields) > len(ts.fields) else []))
+
             def build(parts: Column) -> Column:
                 bare = F.regexp_replace(base, r"[^\p{L}\p{N}]+", "")
                 pieces = []
@@ -532,15 +542,13 @@ class WordDelimiter:
                 if protected:
                     words = F.when(token.isin(protected), F.array(token)).otherwise(words)
 
-                def struct(w: Column) -> Column:
-                    cols = [(w if f == "token" else t[f]).alias(f) for f in ts.fields]
-                    if self.graph and "position_length" not in ts.fields:
-                        cols.append(F.when(w == bare, F.greatest(F.size(parts), F.lit(1))).otherwise(F.lit(1)).alias("position_length"))
-                    return F.struct(*cols)
-
-                return F.transform(words, struct)
+                return F.transform(words, lambda w: one(w, F.when(w == bare, F.greatest(F.size(parts), F.lit(1))).otherwise(F.lit(1))))
 
-            return let(F.regexp_extract_all(base, F.lit(self.part_pattern()), F.lit(0)), build)
+            cut = let(F.regexp_extract_all(base, F.lit(self.part_pattern()), F.lit(0)), build)
+            # a plain word, the usual case, has one part and needs no cutting
+            kept = self.preserve_original or self.generate_word_parts or self.catenate_words or self.catenate_all
+            whole = F.transform(F.array(token) if kept else F.array().cast("array<string>"), lambda w: one(w, F.lit(1)))
+            return F.when(token.rlike(r"^\p{Lu}?\p{Ll}+$"), whole).otherwise(cut)
 
         return ts.expand(out, fields)
 

@@ -1,4 +1,4 @@
-"""Tokenizers: a text column to an array of token structs, inside the row.
+"""Tokenizers: a text column to an array of words, inside the row.
 
 No tokenizer explodes or shuffles: a document stays one row, so the work is
 spread exactly as the input is.
@@ -51,14 +51,6 @@ def token_type(token: Column) -> Column:
     )
 
 
-def _structs(words: Column, types: bool) -> Column:
-    def one(w: Column, i: Column) -> Column:
-        fields = [w.alias("token"), i.alias("position")]
-        return F.struct(*fields, *([token_type(w).alias("type")] if types else []))
-
-    return F.transform(words, one)
-
-
 def _cut_long(words: Column, limit: int) -> Column:
     """Cut words longer than ``limit``; texts without such words pass unchanged."""
     return let(
@@ -91,11 +83,10 @@ class _Words:
     def words(self, text: Column) -> Column:
         return F.regexp_extract_all(text, F.lit(self.pattern()), F.lit(0))
 
-    def apply(self, text: Column, types: bool = False) -> Column:
+    def apply(self, text: Column) -> Column:
+        """The words of the text in order."""
         words = self.words(text)
-        if self.max_token_length:
-            words = _cut_long(words, self.max_token_length)
-        return _structs(words, types)
+        return _cut_long(words, self.max_token_length) if self.max_token_length else words
 
     def apply_with_offsets(self, text: Column) -> Column:
         """Tokens with character offsets, from word lengths and gap lengths."""

@@ -255,7 +255,7 @@ def _write(spark, path, version, docs, forward, mapping, settings, sort, buckets
 def sorted_docs(docs: DataFrame, sort: list[tuple[str, str]]) -> DataFrame:
     """Range-partition and sort by the index sort, so that row groups can be skipped."""
     if not sort:
-        return docs
+        return spread(docs)
     keys = [F.col(f).asc_nulls_last() if o == "asc" else F.col(f).desc_nulls_last() for f, o in sort]
     return docs.repartitionByRange(*keys).sortWithinPartitions(*keys)
 
