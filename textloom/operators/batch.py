@@ -7,10 +7,11 @@ with all of its documents. So terms are taken in order of their frequency:
    is a lower bound for its final k-th score.
 2. Going down from its most common term, a query can spare as many terms as have
    upper bounds that together stay below that bound: a document with none of the
-   other terms cannot be among the best.
-3. The terms that cannot be spared are joined in full. A document whose score plus
-   the spared terms' bounds stays below the k-th bound is out; for the others the
-   spared terms are looked up by an equi-join on term and document.
+   other terms cannot be among the best. Of these, a term is spared where it has
+   more documents than all rarer terms of the query together.
+3. All other terms are joined in full. A document whose score plus the spared
+   terms' bounds stays below the k-th bound is out; for the others the spared
+   terms are looked up by an equi-join on term and document.
 
 Nothing is dropped that could be in the result, so the outcome equals scoring
 every pair. Queries of equal content are answered once. Each step is written to
@@ -38,7 +39,8 @@ def top_matches(wanted: DataFrame, postings: DataFrame, score: Column, k: int) -
     score the token can give; ``postings``: (token, _id, ...); ``score`` is
     positive and over the columns of both.
     """
-    wanted = materialize(wanted, "query-weights")
+    known = F.col("query_id").isNotNull()
+    wanted = materialize(wanted, "query-weights").where(known)
 
     def scored(w: DataFrame) -> DataFrame:
         return w.join(postings, "token").select("query_id", "_id", score.alias("score"))
@@ -46,32 +48,36 @@ def top_matches(wanted: DataFrame, postings: DataFrame, score: Column, k: int) -
     def summed(df: DataFrame) -> DataFrame:
         return df.groupBy("query_id", "_id").agg(F.sum("score").alias("score"))
 
-    partial = materialize(summed(scored(wanted.where(~F.col("common")))), "rare-scores")
+    partial = materialize(summed(scored(wanted.where(~F.col("common")))), "rare-scores").where(known)
     low = (
         ranked(partial, k).groupBy("query_id").agg(F.min("score").alias("low"), F.count(F.lit(1)).alias("n"))
         .where(F.col("n") >= k).select("query_id", (F.col("low") - MARGIN).alias("low"))
     )
-    # the terms of one query, most common first: as many as stay below the bound can be spared
-    so_far = Window.partitionBy("query_id").orderBy(F.desc("df"), "token").rowsBetween(Window.unboundedPreceding, 0)
-    common = wanted.where("common").join(low, "query_id", "left").withColumn("rest", F.sum("ub").over(so_far))
-    common = materialize(common.withColumn("spared", F.coalesce(F.col("rest") < F.col("low"), F.lit(False))), "common-terms")
-    spared = common.where("spared").drop("low", "rest", "common", "spared")
-    bounds = common.where("spared").groupBy("query_id").agg(F.max("rest").alias("rest"), F.max("low").alias("low"))
-
-    sure = summed(partial.unionByName(scored(common.where(~F.col("spared")))))
-    open_to = F.col("low").isNull() | (F.col("score") + F.col("rest") >= F.col("low"))
-    candidates = materialize(sure.join(bounds, "query_id", "left").where(open_to).select("query_id", "_id", "score"), "candidates")
+    # windows over the terms of one query, most common first
+    terms = Window.partitionBy("query_id").orderBy(F.desc("df"), "token")
+    so_far = F.sum("ub").over(terms.rowsBetween(Window.unboundedPreceding, 0))
+    rarer = F.coalesce(F.sum("df").over(terms.rowsBetween(1, Window.unboundedFollowing)), F.lit(0))
+    spare = F.col("common") & F.coalesce(so_far < F.col("low"), F.lit(False)) & (rarer <= F.col("df"))
+    marked = materialize(wanted.join(low, "query_id", "left").withColumn("spared", spare), "marked-terms").where(known)
+    full = marked.where(F.col("common") & ~F.col("spared")).drop("low", "spared")
+    spared = marked.where("spared").drop("low", "spared")
+    bounds = marked.where("spared").groupBy("query_id").agg(F.sum("ub").alias("rest"), F.max("low").alias("low"))
+
+    sure = summed(partial.unionByName(scored(full))).join(bounds, "query_id", "left")
+    complete = ranked(sure.where(F.col("rest").isNull()), k).select("query_id", "_id", "score", F.lit(False).alias("more"))
+    hopeful = sure.where(F.col("score") + F.col("rest") >= F.col("low")).select("query_id", "_id", "score", F.lit(True).alias("more"))
+    kept = materialize(complete.unionByName(hopeful), "candidates")
     looked_up = (
-        candidates.select("query_id", "_id").join(spared, "query_id")
+        kept.where("more").select("query_id", "_id").join(spared, "query_id")
         .join(postings, ["token", "_id"]).select("query_id", "_id", score.alias("score"))
     )
-    final = summed(candidates.unionByName(looked_up)).withColumn("score", F.round("score", SCORE_DIGITS))
+    final = summed(kept.drop("more").unionByName(looked_up)).withColumn("score", F.round("score", SCORE_DIGITS))
     return ranked(final, k).select("query_id", "rank", "_id", F.col("score").alias("_score"))
 
 
 def ranked(df: DataFrame, k: int) -> DataFrame:
-    """Best k per query; each task keeps k rows per query before the shuffle."""
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc("_id"))
+    """Best k per query by rounded score; each task keeps k rows per query before the shuffle."""
+    order = Window.partitionBy("query_id").orderBy(F.round("score", SCORE_DIGITS).desc(), F.asc("_id"))
     return df.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
