@@ -16,6 +16,7 @@ def local_session(cores: int | str = "*", app: str = "textloom") -> SparkSession
         .config("spark.driver.memory", "12g")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.adaptive.enabled", "true")
+        .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "8m")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
@@ -51,8 +52,11 @@ def spread(df: DataFrame) -> DataFrame:
     """Give CPU-heavy analysis at least one partition per core.
 
     A table of many files already has more splits than cores and passes through
-    untouched; only a handful of large splits is redistributed.
+    untouched; only a handful of large splits is redistributed. Anything but a
+    plain scan passes through too, as counting its partitions would run it.
     """
+    if "Exchange" in df._jdf.queryExecution().executedPlan().toString():
+        return df
     cores = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= cores:
         return df

@@ -24,7 +24,7 @@ from textloom.operators.analyzers import AnalysisSettings, Analyzer
 from textloom.operators.similarity import FieldStats
 from textloom.operators.tokenfilters import EdgeNgramFilter, Shingle
 from textloom.plans.mapping import TEXT_TYPES, Field, Mapping, evolve
-from textloom.session import spread
+from textloom.session import materialize, spread
 
 
 SCHEMAS = {
@@ -188,7 +188,8 @@ class Collection:
 
         Only the batch is analyzed; the forward rows of the others are kept.
         """
-        latest = last_per_id(batch, list(order))
+        # documents and their terms must come from the same row, so the choice is written down first
+        latest = materialize(last_per_id(batch, list(order)), "batch")
         docs = upsert(self.docs, latest)
         forward = self.forward.join(latest.select("_id"), "_id", "left_anti").unionByName(forward_table(latest, self.text))
         return self._next(docs, forward)
@@ -198,14 +199,8 @@ class Collection:
         return self._next(self.docs.join(gone, "_id", "left_anti"), self.forward.join(gone, "_id", "left_anti"))
 
     def update(self, where: Column, assignments: dict[str, str], params: dict | None = None) -> Collection:
-        """Scripted update of the documents that match ``where``."""
-        docs = scripted_update(self.docs, where, assignments, params)
-        touched = set(assignments)
-        fields = {n: f for n, f in self.text.items() if f.column.split(".")[0] in touched}
-        if not fields:
-            return self._next(docs, self.forward)
-        kept = self.forward.where(~F.col("field").isin(sorted(fields)))
-        return self._next(docs, kept.unionByName(forward_table(docs, fields)))
+        """Scripted update of the documents that match ``where``; only they are analyzed again."""
+        return self.put(scripted_update(self.docs.where(where), F.lit(True), assignments, params))
 
     def put_mapping(self, new: Mapping, settings: AnalysisSettings | None = None) -> Collection:
         """Evolve the mapping; only fields whose index-side analysis changed are analyzed again."""
@@ -255,7 +250,7 @@ def _write(spark, path, version, docs, forward, mapping, settings, sort, buckets
 def sorted_docs(docs: DataFrame, sort: list[tuple[str, str]]) -> DataFrame:
     """Range-partition and sort by the index sort, so that row groups can be skipped."""
     if not sort:
-        return spread(docs)
+        return docs
     keys = [F.col(f).asc_nulls_last() if o == "asc" else F.col(f).desc_nulls_last() for f, o in sort]
     return docs.repartitionByRange(*keys).sortWithinPartitions(*keys)
 
