@@ -24,6 +24,9 @@ def local_session(cores: int | str = "*", app: str = "textloom") -> SparkSession
     )
 
 
+_own_dirs: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder that every executor can read, as the cluster names it.
 
@@ -31,8 +34,11 @@ def shared_dir(spark: SparkSession) -> str:
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
-        named = tempfile.mkdtemp(prefix="textloom-")
-        spark.conf.set("spark.checkpoint.dir", named)
+        # the setting cannot be changed on a running session: keep one folder per application
+        app = spark.sparkContext.applicationId
+        if app not in _own_dirs:
+            _own_dirs[app] = tempfile.mkdtemp(prefix="textloom-")
+        named = _own_dirs[app]
     return named.rstrip("/")
 
 
