@@ -126,7 +126,7 @@ def run(index: Collection, request: Search) -> DataFrame:
     if by_score and not request.score_script and page is not None:
         c = compile_query(index, request.query())
         if not isinstance(c, Filtered):
-            # rank the keys alone, then fetch the page's documents: at most MAX_FROM + MAX_SIZE rows are broadcast
+            # rank the keys alone, then fetch the page's documents: at most MAX_SIZE rows are broadcast
             keys = c.rows.select("_id", F.round("score", SCORE_DIGITS).alias("_score"))
             top = keys.orderBy(*best_first).offset(request.from_).limit(page)
             cols = source_columns(index.docs, request.source)
