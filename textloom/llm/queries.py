@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from textloom.llm import bpe_tables, exact_dedup, secret_scan  # noqa: F401
+from textloom.llm import bpe_tables, exact_dedup, quality, secret_scan, toxicity  # noqa: F401
 from textloom.llm.catalog import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -17,8 +17,9 @@ import pyarrow as pa
 
 OTHER, LETTER, NUMBER, SPACE = 0, 1, 2, 3
 
-#: Code points of one chunk, unless a single text is longer.
+#: Code points of one chunk, unless a single text is longer, and texts at most.
 CHUNK = 1 << 20
+CHUNK_TEXTS = 2048
 
 _BASE = 0x9E3779B97F4A7C15
 
@@ -39,6 +40,12 @@ def classes() -> np.ndarray:
     return table
 
 
+@cache
+def uppers() -> np.ndarray:
+    """Which code points are upper- or title-case letters."""
+    return np.fromiter((unicodedata.category(chr(cp)) in ("Lu", "Lt") for cp in range(sys.maxunicode + 1)), bool, sys.maxunicode + 1)
+
+
 def texts_of(column: pa.Array) -> list[str]:
     return [t or "" for t in column.to_pylist()]
 
@@ -47,7 +54,7 @@ def chunks(texts: list[str], limit: int = CHUNK) -> Iterator[tuple[int, int]]:
     """Ranges of texts with about ``limit`` characters each."""
     start, held = 0, 0
     for i, t in enumerate(texts):
-        if held and held + len(t) > limit:
+        if i > start and (held + len(t) > limit or i - start == CHUNK_TEXTS):
             yield start, i
             start, held = i, 0
         held += len(t)
