@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from textloom.llm import bpe_tables, cutting_stock, exact_dedup, ngram_join, quality, secret_scan, shards, toxicity  # noqa: F401
+from textloom.llm import bpe_tables, cutting_stock, exact_dedup, multi_index, ngram_join, quality, secret_scan, shards, toxicity  # noqa: F401
 from textloom.llm.catalog import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
