@@ -57,10 +57,17 @@ def exact_groups(
 
 
 def drop_exact(docs: DataFrame, keep: str = "smallest") -> DataFrame:
-    """The documents that stay, with all their columns; repeated rows stay once."""
-    staying = exact_groups(docs, keep=keep).filter("kept").select(F.col("doc_id").alias("_stays"), F.unhex("text_sha256").alias("_sha"))
-    same = docs["doc_id"].eqNullSafe(staying["_stays"]) & (F.unhex(F.sha2(F.coalesce(docs["text"], F.lit("")), 256)) == staying["_sha"])
-    return docs.join(staying, same, "left_semi").dropDuplicates(["doc_id", "text"])
+    """The documents that stay, with all their columns; repeated rows stay once.
+
+    Id and text digest make one key, so the join and the removal of repeats share one shuffle.
+    """
+    name = "_row"
+    while name in docs.columns:
+        name += "_"
+    row = lambda digest: F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), digest)
+    staying = exact_groups(docs, keep=keep).filter("kept").select(row(F.col("text_sha256")).alias(name))
+    keyed = docs.withColumn(name, row(F.sha2(F.coalesce(F.col("text"), F.lit("")), 256)))
+    return keyed.join(staying, name, "left_semi").dropDuplicates([name]).drop(name)
 
 
 @register(

@@ -1,8 +1,22 @@
-"""Loads every module of this package that registers queries."""
+"""Loads every module of this package that registers queries, and the pipeline."""
 
 from __future__ import annotations
 
-from textloom.llm import bpe_tables, cutting_stock, exact_dedup, multi_index, ngram_join, quality, secret_scan, shards, toxicity  # noqa: F401
-from textloom.llm.catalog import ORACLES, QUERIES
+import corpus_pipeline
+from textloom.llm import (  # noqa: F401
+    bfd_pack,
+    bpe_tables,
+    cutting_stock,
+    exact_dedup,
+    multi_index,
+    ngram_join,
+    quality,
+    secret_scan,
+    shards,
+    toxicity,
+)
+from textloom.llm.catalog import ORACLES, QUERIES, register
+
+register("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)
 
 __all__ = ["ORACLES", "QUERIES"]
