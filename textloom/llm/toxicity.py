@@ -19,7 +19,7 @@ from textloom.llm.learning import labelled_sample
 from textloom.llm.text import Words, chunks, span_hashes, texts_of
 
 #: Labelled rows to learn from, at most, and word features, at most.
-SAMPLE = 8000
+SAMPLE = 5000
 FEATURES = 4000
 #: Lengths of the heads of words that are features beside the words.
 HEADS = (3, 5, 7)
