@@ -1,3 +1,5 @@
+import pytest
+
 from textloom import session
 
 
@@ -13,7 +15,7 @@ class _Conf:
 class _Session:
     def __init__(self, value):
         self.conf = _Conf(value)
-        self.sparkContext = type("C", (), {"applicationId": "app-1"})()
+        self.sparkContext = type("C", (), {"applicationId": "app-1", "master": "local[2]"})()
 
 
 def test_named_folder_is_used():
@@ -26,7 +28,16 @@ def test_own_folder_only_without_a_name():
     assert session.new_table_path(_Session(None), "t") != session.new_table_path(_Session(None), "t")
 
 
-def test_spread_leaves_shuffled_plans_alone(spark):
-    df = spark.range(10).groupBy("id").count()
-    assert session.spread(df) is df
-    assert session.spread(spark.range(0, 10, 1, 1)).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+def test_a_cluster_has_to_name_its_folder():
+    spark = _Session(None)
+    spark.sparkContext.master = "spark://host:7077"
+    with pytest.raises(ValueError):
+        session.shared_dir(spark)
+
+
+def test_spread_follows_the_setting(spark):
+    few = spark.range(0, 10, 1, 1)
+    assert session.spread(few).rdd.getNumPartitions() == 8
+    spark.conf.unset("spark.textloom.inputPartitions")
+    assert session.spread(few) is few
+    spark.conf.set("spark.textloom.inputPartitions", "8")

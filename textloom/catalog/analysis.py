@@ -545,11 +545,11 @@ def an_pattern(spark, sf):
 
 @register(
     "an_fingerprint",
-    f"SELECT token AS fingerprint, count(*) AS n, min(_id) AS first_id FROM (SELECT _id, string_agg(DISTINCT token, '+' ORDER BY token) AS token FROM (SELECT _id, {sql_table('token', charmaps.LATIN_FOLDING)} AS token FROM ({sql_tokens(STD_LOW)}) s2) s3 WHERE token NOT IN {_STOP_SQL} GROUP BY _id) s4 WHERE length(token) <= 2000 GROUP BY 1",
+    f"SELECT sha256(token) AS fingerprint, count(*) AS n, min(_id) AS first_id FROM (SELECT _id, string_agg(DISTINCT token, '+' ORDER BY token) AS token FROM (SELECT _id, {sql_table('token', charmaps.LATIN_FOLDING)} AS token FROM ({sql_tokens(STD_LOW)}) s2) s3 WHERE token NOT IN {_STOP_SQL} GROUP BY _id) s4 GROUP BY 1",
 )
 def an_fingerprint(spark, sf):
-    fp = A.analyze(texts(spark, sf), "text", A.fingerprint("+", 2000, _STOP))
-    return fp.groupBy(F.col("token").alias("fingerprint")).agg(F.count(F.lit(1)).alias("n"), F.min("_id").alias("first_id"))
+    fp = A.analyze(texts(spark, sf), "text", A.fingerprint("+", 2**31 - 1, _STOP))
+    return fp.groupBy(F.sha2("token", 256).alias("fingerprint")).agg(F.count(F.lit(1)).alias("n"), F.min("_id").alias("first_id"))
 
 
 _LANG_TOKENS = sql_tokens(STD_LOW, more="lang")

@@ -66,6 +66,15 @@ def turns(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def threads(spark: SparkSession, sf: str) -> DataFrame:
+    """Conversations with their turns inside."""
+    each = table(spark, sf, "conversations").groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("turn", "role", "text"))).alias("turns"))
+    return each.select(F.col("conv_id").cast("string").alias("_id"), F.transform("turns", lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text"))).alias("turns"))
+
+
+TURNS_LM = Mapping((Field("text", "text", similarity="LMJelinekMercer"), Field("role", "keyword"), Field("turn", "integer")))
+TURNS_DOCS = Mapping((Field("text", "text", index_options="docs"), Field("role", "keyword"), Field("turn", "integer")))
+THREADS = Mapping((Field("turns", "nested", properties=(Field("role", "keyword"), Field("text", "text"))),))
 TURNS = Mapping((Field("text", "text"), Field("role", "keyword"), Field("turn", "integer")))
 
 
@@ -95,6 +104,9 @@ _SPECS = {
     "part": (parts, PARTS, PART_SETTINGS, ()),
     "minhash": (lambda spark, sf: documents(spark, sf).select("_id", "text"), MINHASH, MINHASH_SETTINGS, ()),
     "conversations": (turns, TURNS, AnalysisSettings(), ()),
+    "turns_lm": (turns, TURNS_LM, AnalysisSettings(), ()),
+    "turns_docs": (turns, TURNS_DOCS, AnalysisSettings(), ()),
+    "threads": (threads, THREADS, AnalysisSettings(), ()),
     "orders": (orders, ORDERS, AnalysisSettings(), (("o_orderdate", "asc"),)),
     "supplier": (suppliers, SUPPLIERS, AnalysisSettings(), ()),
 }

@@ -68,8 +68,8 @@ scored(
     "q_fuzzy_auto", Q.Match("text", "attoin nichd er", fuzziness="AUTO"),
     f"WITH {TEXT} SELECT _id, round(sum(score), 6) AS _score FROM ({S.fuzzy_rows('f', ['attoin', 'nichd', 'er'], S.AUTO)}) x GROUP BY _id",
 )
-scored("q_fuzzy_all_terms", Q.Match("text", "attoin nichd", fuzziness=2, operator="AND", max_expansions=None),
-       f"WITH {TEXT} SELECT _id, round(sum(score), 6) AS _score FROM ({S.fuzzy_rows('f', ['attoin', 'nichd'], '2', limit=1000000)}) x GROUP BY _id HAVING count(DISTINCT i) = 2")
+scored("q_fuzzy_all_terms", Q.Match("text", "attoin nichd", fuzziness=2, operator="AND"),
+       f"WITH {TEXT} SELECT _id, round(sum(score), 6) AS _score FROM ({S.fuzzy_rows('f', ['attoin', 'nichd'], '2')}) x GROUP BY _id HAVING count(DISTINCT i) = 2")
 scored("q_phrase", Q.Phrase("text", "of the"), f"WITH {TEXT} {S.hits(S.phrase('f', ['of', 'the']))}")
 scored("q_phrase_repeat", Q.Phrase("text", "the the of"), f"WITH {TEXT} {S.hits(S.phrase('f', ['the', 'the', 'of']))}")
 scored("q_phrase_prefix", Q.PhrasePrefix("text", "of th"), f"WITH {TEXT} {S.hits(S.phrase('f', ['of', 'th'], True))}")
@@ -147,8 +147,8 @@ def q_script_score(spark, sf):
 # --- requests: projection, paging, sorting
 
 page("bm25_topk", R.Search(must=(Q.Match("text", "the thble attion nicht"),), size=10, source=("lang", "source")), f"WITH {S.DOCS}, {TEXT} {S.top(S.match('f', ['the', 'thble', 'attion', 'nicht']), 'lang, source', 'wd', 10)}")
-page("source_filter", R.Search(match_all=True, size=2000, source=("la*", "n_*"), sort=(("n_chars", "desc"),)), f"WITH {S.DOCS} SELECT _id, NULL::DOUBLE AS _score, lang, n_chars FROM wd ORDER BY n_chars DESC, _id LIMIT 2000")
-page("search_limit", R.Search(match_all=True, size=5000, sort=(("o_totalprice", "desc"),), source=("o_totalprice",)), "SELECT CAST(o_orderkey AS VARCHAR) AS _id, NULL::DOUBLE AS _score, o_totalprice FROM orders ORDER BY o_totalprice DESC, _id LIMIT 2000", "orders")
+page("source_filter", R.Search(match_all=True, size=None, source=("la*", "n_*"), sort=(("n_chars", "desc"),)), f"WITH {S.DOCS} SELECT _id, NULL::DOUBLE AS _score, lang, n_chars FROM wd")
+page("search_limit", R.Search(match_all=True, size=2000, sort=(("o_totalprice", "desc"),), source=("o_totalprice",)), "SELECT CAST(o_orderkey AS VARCHAR) AS _id, NULL::DOUBLE AS _score, o_totalprice FROM orders ORDER BY o_totalprice DESC, _id LIMIT 2000", "orders")
 page("search_from", R.Search(must=(Q.Match("text", "thing oning"),), from_=20, size=15, source=("lang",)), f"WITH {S.DOCS}, {TEXT} {S.top(S.match('f', ['thing', 'oning']), 'lang', 'wd', 15, 20)}")
 page(
     "search_after", R.Search(filter=(Q.Term("o_orderstatus", "F"),), sort=(("o_orderpriority", "desc"), ("o_totalprice", "asc")), search_after=("3-MEDIUM", 200000.0), size=40, source=("o_orderpriority", "o_totalprice")),
@@ -172,6 +172,14 @@ def transform_limit(spark, sf):
     return R.transformed(index_for(spark, sf, "orders"), request, fn, 70)
 
 
+@register("transform_expand", f"SELECT CAST(o_orderkey AS VARCHAR) AS _id, part FROM (SELECT o_orderkey, unnest(string_split(o_orderpriority, '-')) AS part, o_totalprice FROM orders WHERE o_orderstatus = 'P') x ORDER BY o_totalprice DESC, _id, part LIMIT 75")
+def transform_expand(spark, sf):
+    """A function that makes two rows of each hit."""
+    request = R.Search(filter=(Q.Term("o_orderstatus", "P"),), sort=(("o_totalprice", "desc"),))
+    fn = lambda df: df.select("_id", F.explode(F.split("o_orderpriority", "-")).alias("part"))
+    return R.transformed(index_for(spark, sf, "orders"), request, fn, 75)
+
+
 @register("total_hits", f"WITH {S.DOCS}, {TEXT} SELECT count(*) AS total FROM ({S.match('f', ['the', 'nicht'])}) m JOIN wd d ON d._id = m._id WHERE n_chars < 5000")
 def total_hits(spark, sf):
     return R.total(index_for(spark, sf, "documents"), R.Search(must=(Q.Match("text", "the nicht"),), filter=(Q.Range("n_chars", lt=5000),)))
@@ -190,3 +198,59 @@ def batch(spark, sf):
     queries = table(spark, sf, "benchmark").select(F.col("item_id").alias("query_id"), "text")
     found = batch_search(index_for(spark, sf, "documents"), queries, "text", k=10)
     return found.withColumn("rank", F.col("rank").cast("bigint"))
+
+
+def _asked(spark, sf):
+    return table(spark, sf, "benchmark").select(F.col("item_id").alias("query_id"), "text")
+
+
+_QT = "SELECT item_id AS query_id, unnest({words}) AS token FROM benchmark"
+_BEST = "SELECT query_id, rank, _id, _score FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY _score DESC, _id) AS rank FROM ({inner}) x) y WHERE rank <= {k}"
+
+
+@register(
+    "batch_search_lm",
+    f"WITH {S.field('t', source='conversations', _id=S.TURN_ID, formula='LMJelinekMercer')}, qt AS ({_QT.format(words=S.STD_LOW)}) "
+    + _BEST.format(inner="SELECT query_id, s._id, round(sum(score), 6) AS _score FROM qt JOIN t_s s ON s.token = qt.token GROUP BY 1, 2", k=5),
+)
+def batch_lm(spark, sf):
+    """Many queries on a field with another similarity."""
+    index = index_for(spark, sf, "turns_lm")
+    return batch_search(index, _asked(spark, sf), "text", k=5).withColumn("rank", F.col("rank").cast("bigint"))
+
+
+_NAMES = "SELECT DISTINCT p_name AS query_id, unnest(list_transform(regexp_extract_all(p_name, '[\\p{L}\\p{N}]+'), lambda x: lower(substr(x, 2)))) AS token FROM part"
+
+
+@register(
+    "batch_fuzzy",
+    f"""WITH {S.part_field('a', 'p_name')}, qt AS ({_NAMES}), need AS (SELECT query_id, count(*) AS n FROM qt GROUP BY 1),
+    near AS (SELECT q.query_id, q.token AS term, f.token, 1::DOUBLE - levenshtein(q.token, f.token) / least(length(q.token), length(f.token))::DOUBLE AS w FROM qt q JOIN a_df f ON levenshtein(q.token, f.token) <= 1)
+    """
+    + _BEST.format(inner="SELECT query_id, _id, _score FROM (SELECT e.query_id, s._id, round(sum(e.w * s.score), 6) AS _score, count(DISTINCT e.term) AS c FROM near e JOIN a_s s ON s.token = e.token WHERE e.w > 0 GROUP BY 1, 2) x JOIN need USING (query_id) WHERE c = n", k=5),
+)
+def batch_fuzzy(spark, sf):
+    """Names without the first letter of each word, all words asked for, one edit allowed."""
+    words = F.transform(F.regexp_extract_all("p_name", F.lit(r"([\p{L}\p{N}]+)"), F.lit(1)), lambda x: F.substring(x, F.lit(2), F.length(x)))
+    asked = table(spark, sf, "part").select(F.col("p_name").alias("query_id"), F.array_join(words, " ").alias("text")).distinct()
+    return batch_search(index_for(spark, sf, "part"), asked, "p_name", k=5, operator="AND", fuzziness=1).withColumn("rank", F.col("rank").cast("bigint"))
+
+
+@register(
+    "q_match_docs_only",
+    f"WITH {S.field('t', source='conversations', _id=S.TURN_ID)}, u AS (SELECT t._id, ln(1::DOUBLE + (n - df + 0.5::DOUBLE) / (df + 0.5::DOUBLE)) * 2.2::DOUBLE / (1::DOUBLE + 1.2::DOUBLE * (0.25::DOUBLE + 0.75::DOUBLE * dl / (c::DOUBLE / n))) AS score FROM t_tf t JOIN t_dl d ON d._id = t._id JOIN t_df f ON f.token = t.token, t_st WHERE t.token IN ('the', 'and')) "
+    "SELECT _id, round(sum(score), 6) AS _score FROM u GROUP BY _id",
+)
+def q_match_docs_only(spark, sf):
+    """Without frequencies a word counts once, and the length is still that of the text."""
+    return plan.hits(index_for(spark, sf, "turns_docs"), Q.Match("text", "the and")).select("_id", F.round("score", 6).alias("_score"))
+
+
+@register(
+    "q_nested_text",
+    f"SELECT CAST(conv_id AS VARCHAR) AS _id, 1::DOUBLE AS _score FROM (SELECT conv_id, bool_or(role = 'user' AND list_contains({S.STD_LOW}, 'the') AND list_contains({S.STD_LOW}, 'of')) AS hit FROM conversations GROUP BY 1) c WHERE hit",
+)
+def q_nested_text(spark, sf):
+    """Some turn of the user holds both words."""
+    inner = Q.Bool(must=(Q.Match("turns.text", "Of the", operator="AND"), Q.Term("turns.role", "user")))
+    return plan.hits(index_for(spark, sf, "threads"), Q.Nested("turns", inner)).select("_id", F.round("score", 6).alias("_score"))

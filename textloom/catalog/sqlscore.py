@@ -17,6 +17,7 @@ FORMULAS = {
 DOCS = """wd AS (SELECT CAST(d.doc_id AS VARCHAR) AS _id, text, lang, source, n_chars, CASE WHEN d.doc_id % 7 <> 0 THEN source END AS origin,
   CAST(coalesce(quality, 0) * 10 + 1 AS INTEGER) AS weight FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id)"""
 
+TURN_ID = "conv_id || '-' || turn"
 PART_ID = "CAST(p_partkey AS VARCHAR)"
 
 
@@ -45,14 +46,14 @@ def match(name: str, terms: list[str], weight: str = "1::DOUBLE", every: bool =
     return f"SELECT s._id, sum({weight} * s.score) AS score FROM {name}_s s JOIN (VALUES {values}) w(i, token) ON w.token = s.token GROUP BY s._id{having}"
 
 
-def fuzzy_rows(name: str, terms: list[str], edits: str, prefix: int = 0, weight: str = "1::DOUBLE", limit: int = 50) -> str:
-    """``(_id, i, score)`` over the nearest ``limit`` vocabulary terms of each query term."""
+def fuzzy_rows(name: str, terms: list[str], edits: str, prefix: int = 0, weight: str = "1::DOUBLE") -> str:
+    """``(_id, i, score)`` over all near vocabulary terms of each query term."""
     values = ", ".join(f"({i}, {q(t)})" for i, t in enumerate(terms))
     near = f" AND left(f.token, {prefix}) = left(w.q, {prefix})" if prefix else ""
     return f"""SELECT s._id, e.i, {weight} * (1::DOUBLE - e.d / least(length(e.q), length(e.token))::DOUBLE) * s.score AS score FROM (
-        SELECT *, row_number() OVER (PARTITION BY i ORDER BY d, df DESC, token) AS r FROM (
+        SELECT * FROM (
           SELECT w.i, w.q, f.token, f.df, levenshtein(w.q, f.token) AS d FROM (VALUES {values}) w(i, q), {name}_df f WHERE abs(length(w.q) - length(f.token)) <= 2 AND levenshtein(w.q, f.token) <= {edits}{near}) x) e
-      JOIN {name}_s s ON s.token = e.token WHERE e.r <= {limit} AND e.d < least(length(e.q), length(e.token))"""
+      JOIN {name}_s s ON s.token = e.token WHERE e.d < least(length(e.q), length(e.token))"""
 
 
 AUTO = "(CASE WHEN length(w.q) <= 2 THEN 0 WHEN length(w.q) <= 5 THEN 1 ELSE 2 END)"

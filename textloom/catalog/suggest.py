@@ -42,6 +42,21 @@ def completion_context(spark, sf):
     return G.completions_in_context(base, queries, size=5).withColumn("rank", F.col("rank").cast("bigint"))
 
 
+_LONG = "repeat(p_name || ' ', 1 + CAST(floor(100 / length(p_name)) AS INTEGER))"
+_LONG_ASKED = f"SELECT DISTINCT p_name || '/' || n AS suggester_id, lower(substr({_LONG}, 1, n)) AS prefix FROM part, (VALUES (60), (80), (100)) v(n)"
+
+
+@register("completion_context_long", f"WITH a AS ({_LONG_ASKED}) " + _BEST.format(inner=f"SELECT DISTINCT suggester_id, CAST(p_partkey AS VARCHAR) AS _id, {_LONG} AS input, p_size AS weight FROM a JOIN part ON starts_with(lower({_LONG}), prefix) WHERE p_brand = 'Brand#14'", k=5))
+def completion_context_long(spark, sf):
+    """Prefixes of 60 to 100 letters."""
+    long = F.expr("repeat(p_name || ' ', 1 + cast(floor(100 / length(p_name)) as int))")
+    base = suggestions(spark, sf).withColumn("input", F.expr("repeat(input || ' ', 1 + cast(floor(100 / length(input)) as int))")).withColumn("context", F.array("p_brand"))
+    n = F.explode(F.array(F.lit(60), F.lit(80), F.lit(100)))
+    prefixes = table(spark, sf, "part").select("p_name", long.alias("long")).distinct().withColumn("n", n)
+    asked = prefixes.select(F.concat_ws("/", "p_name", "n").alias("suggester_id"), F.lit("name").alias("field"), F.expr("upper(substring(long, 1, n))").alias("prefix"), F.array(F.lit("Brand#14")).alias("context"))
+    return G.completions_in_context(base, asked, size=5).withColumn("rank", F.col("rank").cast("bigint"))
+
+
 _CELL = "floor(({lat}) / 30.0) || '/' || floor(({lon}) / 30.0)"
 _SUP = "SELECT CAST(s_suppkey AS VARCHAR) AS _id, s_name AS input, CAST(floor(s_acctbal) AS INTEGER) AS weight, CAST(CAST(floor((s_suppkey * 37 % 180 - 90) / 30.0) AS BIGINT) AS VARCHAR) || '/' || CAST(CAST(floor((s_suppkey * 53 % 360 - 180) / 30.0) AS BIGINT) AS VARCHAR) AS cell FROM supplier"
 

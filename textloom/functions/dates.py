@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, functions as F
 
 # Named formats and their datetime patterns, tried in order.
 _T = "HH:mm:ss"
 _Z = "[XXX][XX][X]"
 PATTERNS: dict[str, tuple[str, ...]] = {
-    "date_optional_time": (f"yyyy-MM-dd'T'HH:mm:ss.SSSSSS{_Z}", f"yyyy-MM-dd'T'HH:mm:ss.SSS{_Z}", f"yyyy-MM-dd'T'{_T}{_Z}", "yyyy-MM-dd'T'HH:mm", "yyyy-MM-dd'T'HH", "yyyy-MM-dd", "yyyy-MM", "yyyy"),
+    "date_optional_time": (f"yyyy-MM-dd'T'HH:mm:ss.SSSSSS{_Z}", f"yyyy-MM-dd'T'HH:mm:ss.SSS{_Z}", f"yyyy-MM-dd'T'{_T}{_Z}", f"yyyy-MM-dd'T'HH:mm{_Z}", f"yyyy-MM-dd'T'HH{_Z}", "yyyy-MM-dd", "yyyy-MM", "yyyy"),
     "basic_date": ("yyyyMMdd",),
     "basic_date_time": (f"yyyyMMdd'T'HHmmss.SSS{_Z}",),
     "basic_date_time_no_millis": (f"yyyyMMdd'T'HHmmss{_Z}",),
@@ -61,6 +63,16 @@ NAMES = sorted(
 )
 
 
+_MICROS = re.compile("S{3,6}")
+
+
+def micros(col: Column) -> Column:
+    """A time text with its fraction of a second cut or filled to six digits."""
+    digits = F.regexp_extract(col, r"\.(\d{1,9})(?:Z|[+-]\d{2}:?\d{2})?$", 1)
+    six = F.rpad(F.substring(digits, 1, 6), 6, "0")
+    return F.when(digits != "", F.regexp_replace(col, F.lit(r"\.\d{1,9}"), F.concat(F.lit("."), six))).otherwise(col)
+
+
 def parse_date(col: Column, fmt: str | None = None) -> Column:
     """Text to a timestamp by a named format or a literal pattern; NULL where it does not fit."""
     fmt = fmt or "strict_date_optional_time"
@@ -72,12 +84,16 @@ def parse_date(col: Column, fmt: str | None = None) -> Column:
     if name in WEEKS:
         return _week(col, *WEEKS[name])
     tries = []
-    for pattern in PATTERNS.get(name, (fmt,)):
-        value = col
+    # fractions of 1 to 9 digits are read as microseconds
+    plain = micros(col) if name in PATTERNS else col
+    for pattern in dict.fromkeys(_MICROS.sub("SSSSSS", p) for p in PATTERNS[name]) if name in PATTERNS else (fmt,):
+        value = plain
         if name in PATTERNS and not pattern.startswith("yyyy"):
             # a time of day is a time on the first day of the epoch
-            value, pattern = F.concat(F.lit("1970-01-01 "), col), f"yyyy-MM-dd {pattern}"
-        for zone in ZONES if _Z in pattern else ("",):
+            value, pattern = F.concat(F.lit("1970-01-01 "), plain), f"yyyy-MM-dd {pattern}"
+        # only this format may leave its zone out
+        open_end = ("",) if name == "date_optional_time" else ()
+        for zone in (*ZONES, *open_end) if _Z in pattern else ("",):
             full = pattern.replace(_Z, zone)
             parsed = F.try_to_timestamp(value, F.lit(full))
             # named patterns have a fixed shape: test it first, as a failed parse is far dearer than a regex
@@ -119,6 +135,6 @@ def _week(col: Column, dashes: bool, with_week: bool, with_day: bool, time: str
     if time is None:
         return F.when(col.rlike(rx), date.cast("timestamp"))
     clock = F.regexp_extract(col, rx, 4)
-    stamp = F.concat(F.date_format(date, "yyyy-MM-dd"), F.lit(" "), clock)
-    tries = [F.try_to_timestamp(stamp, F.lit("yyyy-MM-dd " + time.replace(_Z, z))) for z in ("XXX", "XX")]
+    stamp = F.concat(F.date_format(date, "yyyy-MM-dd"), F.lit(" "), micros(clock))
+    tries = [F.try_to_timestamp(stamp, F.lit("yyyy-MM-dd " + _MICROS.sub("SSSSSS", time).replace(_Z, z))) for z in ("XXX", "XX")]
     return F.when(col.rlike(rx), F.coalesce(*tries))

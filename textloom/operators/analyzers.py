@@ -13,10 +13,11 @@ from textloom.operators.tokenizers import TOKENIZERS, Keyword, LowercaseLetter,
 
 # Languages with an analyzer of their own, and those without stem exclusions.
 LANGUAGES = (
-    "arabic armenian basque bengali brazilian bulgarian catalan cjk czech danish dutch english estonian finnish french "
-    "galician german greek hindi hungarian indonesian irish italian latvian lithuanian norwegian persian portuguese "
-    "romanian russian sorani spanish swedish turkish thai"
-).split()
+    "arabic", "armenian", "basque", "bengali", "brazilian", "bulgarian", "catalan", "cjk", "czech", "danish",
+    "dutch", "english", "estonian", "finnish", "french", "galician", "german", "greek", "hindi", "hungarian",
+    "indonesian", "irish", "italian", "latvian", "lithuanian", "norwegian", "persian", "portuguese", "romanian",
+    "russian", "sorani", "spanish", "swedish", "turkish", "thai",
+)
 NO_STEM_EXCLUSION = {"brazilian", "cjk", "danish", "estonian", "greek", "persian", "thai"}
 # Elided articles by language code.
 ELISIONS = {
@@ -25,11 +26,12 @@ ELISIONS = {
     "it": ("c", "l", "all", "dall", "dell", "nell", "sull", "coll", "pell", "gl", "agl", "dagl", "degl", "negl", "sugl", "un", "m", "t", "s", "v", "d"),
     "ga": ("d", "m", "b"),
 }
+# Token filters that are normalizers by themselves.
 BUILT_IN_NORMALIZERS = (
-    "arabic_normalization asciifolding bengali_normalization cjk_width decimal_digit elision german_normalization "
-    "hindi_normalization indic_normalization lowercase persian_normalization scandinavian_folding serbian_normalization "
-    "sorani_normalization uppercase"
-).split()
+    "arabic_normalization", "asciifolding", "bengali_normalization", "cjk_width", "decimal_digit", "elision",
+    "german_normalization", "hindi_normalization", "indic_normalization", "lowercase", "persian_normalization",
+    "scandinavian_folding", "serbian_normalization", "sorani_normalization", "uppercase",
+)
 
 
 @dataclass(frozen=True)
@@ -43,7 +45,7 @@ class Analyzer:
 
     def __post_init__(self) -> None:
         if self.tokenizer is None:
-            raise ValueError("tokenizer should not be empty")
+            raise ValueError("an analyzer cuts text with exactly one tokenizer; none was given")
 
     def filtered(self, text: Column) -> Column:
         for c in self.char_filters:
@@ -87,7 +89,7 @@ class Normalizer:
 
     def __post_init__(self) -> None:
         if not self.char_filters and not self.filters:
-            raise ValueError("char_filter or filter should not be empty")
+            raise ValueError("a normalizer without any char filter or token filter would change nothing")
 
     def apply(self, value: Column) -> Column:
         for c in self.char_filters:
@@ -221,7 +223,7 @@ class AnalysisSettings:
         kind = spec.pop("type", "custom")
         if kind == "custom":
             if not spec.get("tokenizer"):
-                raise ValueError("tokenizer should not be empty")
+                raise ValueError(f"analyzer {name!r} names no tokenizer; known are {', '.join(sorted(TOKENIZERS))}")
             return Analyzer(
                 self._part("tokenizer", TOKENIZERS, spec["tokenizer"]),
                 tuple(self._part("char_filter", CHAR_FILTERS, c) for c in spec.get("char_filter", ())),

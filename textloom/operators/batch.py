@@ -1,97 +1,45 @@
 """A table of queries against the collection: the best k documents of each.
 
-Very common terms are the danger: joined directly, each pairs all of its queries
-with all of its documents. So terms are taken in order of their frequency:
-
-1. The rare terms are joined and summed; the k-th best partial score of a query
-   is a lower bound for its final k-th score.
-2. Going down from its most common term, a query can spare as many terms as have
-   upper bounds that together stay below that bound: a document with none of the
-   other terms cannot be among the best. Of these, a term is spared where it has
-   more documents than all rarer terms of the query together.
-3. All other terms are joined in full. A document whose score plus the spared
-   terms' bounds stays below the k-th bound is out; for the others the spared
-   terms are looked up by an equi-join on term and document.
-
-Nothing is dropped that could be in the result, so the outcome equals scoring
-every pair. Queries of equal content are answered once. Each step is written to
-the shared folder: several branches read it, and a lost executor costs one step.
+Query terms meet the postings in one join, are summed per (query, document) before the shuffle, and
+the best k per query are kept in each task before they are ranked. There is no other way for common
+terms: a plan that spared them cost more than it saved. Queries of equal content are answered once.
+A term that very many queries and documents share is a skewed join, which adaptive execution splits.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from textloom.operators.analyzers import Analyzer
+from textloom.operators.fuzzy import fuzzy_join, max_edits
 from textloom.operators.postings import terms_of
-from textloom.operators.similarity import K1, bm25, idf
+from textloom.operators.similarity import SIMILARITY
+from textloom.plans import queries as Q
+from textloom.plans.compile import hits
 from textloom.plans.search import SCORE_DIGITS
 from textloom.session import materialize
 from textloom.sources.collection import Collection
 
-MARGIN = 10.0 ** -(SCORE_DIGITS - 1)
-
-
-def top_matches(wanted: DataFrame, postings: DataFrame, score: Column, k: int) -> DataFrame:
-    """``(query_id, rank, _id, _score)``.
-
-    ``wanted``: (query_id, token, ub, df, common, ...) with ``ub`` at least the
-    score the token can give; ``postings``: (token, _id, ...); ``score`` is
-    positive and over the columns of both.
-    """
-    known = F.col("query_id").isNotNull()
-    wanted = materialize(wanted, "query-weights").where(known)
-
-    def scored(w: DataFrame) -> DataFrame:
-        return w.join(postings, "token").select("query_id", "_id", score.alias("score"))
-
-    def summed(df: DataFrame) -> DataFrame:
-        return df.groupBy("query_id", "_id").agg(F.sum("score").alias("score"))
-
-    partial = materialize(summed(scored(wanted.where(~F.col("common")))), "rare-scores").where(known)
-    low = (
-        ranked(partial, k).groupBy("query_id").agg(F.min("score").alias("low"), F.count(F.lit(1)).alias("n"))
-        .where(F.col("n") >= k).select("query_id", (F.col("low") - MARGIN).alias("low"))
-    )
-    # windows over the terms of one query, most common first
-    terms = Window.partitionBy("query_id").orderBy(F.desc("df"), "token")
-    so_far = F.sum("ub").over(terms.rowsBetween(Window.unboundedPreceding, 0))
-    rarer = F.coalesce(F.sum("df").over(terms.rowsBetween(1, Window.unboundedFollowing)), F.lit(0))
-    spare = F.col("common") & F.coalesce(so_far < F.col("low"), F.lit(False)) & (rarer <= F.col("df"))
-    marked = materialize(wanted.join(low, "query_id", "left").withColumn("spared", spare), "marked-terms").where(known)
-    full = marked.where(F.col("common") & ~F.col("spared")).drop("low", "spared")
-    spared = marked.where("spared").drop("low", "spared")
-    bounds = marked.where("spared").groupBy("query_id").agg(F.sum("ub").alias("rest"), F.max("low").alias("low"))
-
-    sure = summed(partial.unionByName(scored(full))).join(bounds, "query_id", "left")
-    complete = ranked(sure.where(F.col("rest").isNull()), k).select("query_id", "_id", "score", F.lit(False).alias("more"))
-    hopeful = sure.where(F.col("score") + F.col("rest") >= F.col("low")).select("query_id", "_id", "score", F.lit(True).alias("more"))
-    kept = materialize(complete.unionByName(hopeful), "candidates")
-    looked_up = (
-        kept.where("more").select("query_id", "_id").join(spared, "query_id")
-        .join(postings, ["token", "_id"]).select("query_id", "_id", score.alias("score"))
-    )
-    final = summed(kept.drop("more").unionByName(looked_up)).withColumn("score", F.round("score", SCORE_DIGITS))
-    return ranked(final, k).select("query_id", "rank", "_id", F.col("score").alias("_score"))
-
 
 def ranked(df: DataFrame, k: int) -> DataFrame:
     """Best k per query by rounded score; each task keeps k rows per query before the shuffle."""
     order = Window.partitionBy("query_id").orderBy(F.round("score", SCORE_DIGITS).desc(), F.asc("_id"))
-    return df.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    best = df.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    return best.select("query_id", "rank", "_id", F.round("score", SCORE_DIGITS).alias("_score"))
 
 
-def distinct_queries(queries: DataFrame, analyzer: Analyzer) -> tuple[DataFrame, DataFrame]:
-    """``(terms, members)``: the terms of each distinct content, and which queries have it."""
-    terms = queries.select("query_id", terms_of(analyzer.array(F.col("text")), positions=False).alias("terms"))
-    keyed = terms.withColumn("key", F.sha2(F.to_json(F.transform("terms", lambda t: F.struct(t["token"], t["tf"]))), 256))
+def distinct_queries(queries: DataFrame, analyzers: Sequence[Analyzer]) -> tuple[DataFrame, DataFrame]:
+    """``(terms, members)``: the terms of each distinct content by analyzer, and which queries have it."""
+    each = [terms_of(a.array(F.col("text")), positions=False) for a in analyzers]
+    keyed = queries.select("query_id", F.array(*[F.transform(t, lambda t: F.struct(t["token"].alias("token"), t["tf"].alias("qtf"))) for t in each]).alias("terms"))
     # many branches read the terms; the texts are analyzed once
-    keyed = materialize(keyed, "query-terms")
-    members = keyed.select("query_id", "key")
+    keyed = materialize(keyed.withColumn("key", F.sha2(F.to_json("terms"), 256)), "query-terms")
     # equal content has equal terms: the first of each key, combined before the shuffle
     content = keyed.groupBy("key").agg(F.first("terms").alias("terms"))
-    rows = content.select(F.col("key").alias("query_id"), F.explode("terms").alias("t"))
-    return rows.select("query_id", "t.token", F.col("t.tf").alias("qtf")), members
+    rows = content.select(F.col("key").alias("query_id"), F.posexplode("terms").alias("no", "terms"))
+    return rows.select("query_id", "no", F.explode("terms").alias("t")).select("query_id", "no", "t.*"), keyed.select("query_id", "key")
 
 
 def expand_members(result: DataFrame, members: DataFrame) -> DataFrame:
@@ -99,33 +47,63 @@ def expand_members(result: DataFrame, members: DataFrame) -> DataFrame:
     return members.join(result.withColumnRenamed("query_id", "key"), "key").drop("key").select("query_id", "rank", "_id", "_score")
 
 
-def batch_search(index: Collection, queries: DataFrame, field: str, k: int = 10, common_share: float = 0.05) -> DataFrame:
-    """BM25 match (OR) of each query's text: ``(query_id, rank, _id, _score)``."""
-    spec, stats = index.text[field], index.stats[field]
-    terms, members = distinct_queries(queries, spec.search_analyzer)
-    vocab = index.vocabulary(field).select("token", "df", "ttf")
-    wanted = terms.join(vocab, "token").select(
-        "query_id", "token", "qtf", "df", "ttf",
-        (F.col("qtf") * spec.boost * idf(F.col("df"), stats) * (K1 + 1.0)).alias("ub"),
-        (F.col("df") > common_share * stats.n_docs).alias("common"),
-    )
-    score = F.col("qtf") * F.lit(spec.boost) * bm25(F.col("tf"), F.col("dl"), F.col("df"), F.col("ttf"), stats, spec.norms)
-    rows = index.postings(field).select("token", "_id", "tf", "dl")
-    return expand_members(top_matches(wanted, rows, score, k), members)
+def _spelled(terms: DataFrame, vocab: DataFrame, fuzziness: int | str | None) -> DataFrame:
+    """Query terms with the vocabulary terms they stand for, and the weight of each."""
+    if fuzziness in (None, 0, "0"):
+        return terms.join(vocab, "token").withColumns({"term": F.col("token"), "weight": F.lit(1.0)})
+    edits = 2 if str(fuzziness).upper() == "AUTO" else int(fuzziness)
+    near = fuzzy_join(terms.select(F.col("token").alias("q")), vocab.select("token"), edits)
+    weight = F.lit(1.0) - F.col("d") / F.least(F.length("q"), F.length("token"))
+    near = near.where(F.col("d") <= max_edits(F.col("q"), fuzziness)).withColumn("weight", weight).where("weight > 0").drop("d")
+    return terms.withColumnRenamed("token", "term").join(near, F.col("term") == F.col("q")).drop("q").join(vocab, "token")
 
 
-def similar_documents(index: Collection, queries: DataFrame, field: str, k: int = 10, common_share: float = 0.05) -> DataFrame:
+def batch_search(
+    index: Collection, queries: DataFrame, fields: str | Sequence[str], k: int = 10, operator: str = "OR", fuzziness: int | str | None = None,
+    filter: Q.Query | None = None,
+) -> DataFrame:
+    """The best ``k`` documents of each ``(query_id, text)``: ``(query_id, rank, _id, _score)``.
+
+    Every field scores by its own similarity; of several fields the best one counts. ``operator``
+    "AND" asks for all terms within a field, ``fuzziness`` (1, 2 or "AUTO") for near spellings, and
+    ``filter`` limits the documents.
+    """
+    names = [fields] if isinstance(fields, str) else list(fields)
+    terms, members = distinct_queries(queries, [index.text[n].search_analyzer for n in names])
+    parts = []
+    for no, name in enumerate(names):
+        spec, stats = index.text[name], index.stats[name]
+        own = terms.where(F.col("no") == no).drop("no")
+        wanted = _spelled(own, index.vocabulary(name).select("token", "df", "ttf"), fuzziness)
+        rows = index.postings(name).select("token", "_id", "tf", "dl").join(wanted, "token")
+        score = SIMILARITY[spec.similarity](F.col("tf"), F.col("dl"), F.col("df"), F.col("ttf"), stats, spec.norms)
+        rows = rows.select("query_id", "_id", "term", (F.col("qtf") * F.lit(spec.boost) * F.col("weight") * score).alias("score"))
+        if operator.upper() == "AND":
+            needed = own.groupBy("query_id").agg(F.count(F.lit(1)).alias("needed"))
+            # at most the query's own terms
+            found = rows.groupBy("query_id", "_id").agg(F.sum("score").alias("score"), F.size(F.collect_set("term")).alias("n"))
+            found = found.join(needed, "query_id").where("n = needed").select("query_id", "_id", "score")
+        else:
+            found = rows.groupBy("query_id", "_id").agg(F.sum("score").alias("score"))
+        parts.append(found)
+    found = parts[0]
+    for more in parts[1:]:
+        found = found.unionByName(more)
+    if len(parts) > 1:
+        found = found.groupBy("query_id", "_id").agg(F.max("score").alias("score"))
+    if filter is not None:
+        found = found.join(hits(index, filter).select("_id"), "_id", "left_semi")
+    return expand_members(ranked(found, k), members)
+
+
+def similar_documents(index: Collection, queries: DataFrame, field: str, k: int = 10) -> DataFrame:
     """Documents that share min-hash tokens with each query text, by the share of equal tokens.
 
     ``field`` is indexed with an analyzer that ends in ``min_hash``; the share
     estimates the overlap of the two sets of shingles.
     """
-    stats = index.stats[field]
-    terms, members = distinct_queries(queries, index.text[field].analyzer)
-    vocab = index.vocabulary(field).select("token", "df")
+    terms, members = distinct_queries(queries, [index.text[field].analyzer])
     size = terms.groupBy("query_id").agg(F.count(F.lit(1)).alias("size"))
-    wanted = terms.join(size, "query_id").join(vocab, "token").select(
-        "query_id", "token", "df", (F.lit(1.0) / F.col("size")).alias("ub"), (F.col("df") > common_share * stats.n_docs).alias("common")
-    )
-    rows = index.postings(field).select("token", "_id")
-    return expand_members(top_matches(wanted, rows, F.col("ub"), k), members)
+    wanted = terms.join(size, "query_id").select("query_id", "token", (F.lit(1.0) / F.col("size")).alias("share"))
+    found = index.postings(field).select("token", "_id").join(wanted, "token").groupBy("query_id", "_id").agg(F.sum("share").alias("score"))
+    return expand_members(ranked(found, k), members)

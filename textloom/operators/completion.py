@@ -9,27 +9,19 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-MAX_PREFIX = 50
-
 
 def _best(df: DataFrame, keys: list[str], size: int) -> DataFrame:
     order = Window.partitionBy(*keys).orderBy(F.desc_nulls_last("weight"), F.asc("input"), F.asc("_id"))
     return df.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= size)
 
 
-def _prefixes(suggestions: DataFrame, lengths: Column) -> DataFrame:
-    """Every suggestion once per prefix length that some query has."""
-    own = F.sequence(F.lit(1), F.least(F.length("input"), F.lit(MAX_PREFIX)))
-    fits = suggestions.where(F.length("input") > 0).withColumn("ns", lengths).withColumn("ns", F.array_intersect("ns", own))
-    return (
-        fits.withColumn("n", F.explode("ns"))
-        .withColumn("prefix", F.lower(F.substring(F.col("input"), F.lit(1), F.col("n")))).drop("ns", "n")
-    )
-
-
-def _lengths(queries: DataFrame) -> Column:
-    """The prefix lengths that occur, as a scalar subquery: at most MAX_PREFIX numbers."""
-    return queries.where(F.length("prefix") <= MAX_PREFIX).agg(F.collect_set(F.length("prefix"))).scalar()
+def _prefixes(suggestions: DataFrame, asked: DataFrame, keys: list[str]) -> DataFrame:
+    """Every suggestion once per prefix of it that some query has, of whatever length."""
+    lengths = asked.agg(F.collect_set(F.length("prefix"))).scalar()  # numbers up to the longest prefix
+    n = F.explode(F.filter("ns", lambda n: (n > 0) & (n <= F.length("input"))))
+    each = suggestions.withColumn("ns", lengths).withColumn("n", n).drop("ns").withColumn("prefix", F.lower(F.substring(F.col("input"), F.lit(1), F.col("n")))).drop("n")
+    # only prefixes that are asked for reach the ranking
+    return each.join(asked.select(*keys).distinct(), keys, "left_semi")
 
 
 def completions(suggestions: DataFrame, queries: DataFrame, size: int = 5) -> DataFrame:
@@ -40,14 +32,8 @@ def completions(suggestions: DataFrame, queries: DataFrame, size: int = 5) -> Da
     """
     asked = queries.withColumn("prefix", F.lower("prefix"))
     keys = ["field", "prefix"]
-    best = _best(_prefixes(suggestions.select("_id", "field", "input", "weight"), _lengths(asked)), keys, size)
-    short = asked.join(best, keys).select("suggester_id", "rank", "_id", "input", "weight")
-    # prefixes longer than any bound are rare: compare them with inputs that share the first MAX_PREFIX letters
-    long_ones = asked.where(F.length("prefix") > MAX_PREFIX).withColumn("head", F.substring("prefix", 1, MAX_PREFIX))
-    inputs = suggestions.where(F.length("input") > MAX_PREFIX).withColumn("head", F.lower(F.substring("input", 1, MAX_PREFIX)))
-    rest = long_ones.join(inputs, ["field", "head"]).where(F.lower("input").startswith(F.col("prefix")))
-    rest = _best(rest.select("suggester_id", "_id", "input", "weight"), ["suggester_id"], size)
-    return short.unionByName(rest.select(*short.columns))
+    best = _best(_prefixes(suggestions.select("_id", "field", "input", "weight"), asked, keys), keys, size)
+    return asked.join(best, keys).select("suggester_id", "rank", "_id", "input", "weight")
 
 
 def completions_in_context(suggestions: DataFrame, queries: DataFrame, size: int = 5) -> DataFrame:
@@ -59,7 +45,7 @@ def completions_in_context(suggestions: DataFrame, queries: DataFrame, size: int
     asked = queries.withColumn("prefix", F.lower("prefix")).withColumn("value", F.explode(F.array_distinct("context")))
     keys = ["field", "prefix", "value"]
     per_value = suggestions.withColumn("value", F.explode(F.array_distinct("context"))).select("_id", "field", "input", "weight", "value")
-    best = _best(_prefixes(per_value, _lengths(queries)), keys, size).drop("rank")
+    best = _best(_prefixes(per_value, asked, keys), keys, size).drop("rank")
     merged = asked.join(best, keys).select("suggester_id", "_id", "input", "weight").distinct()
     return _best(merged, ["suggester_id"], size).select("suggester_id", "rank", "_id", "input", "weight")
 

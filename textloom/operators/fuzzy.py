@@ -23,12 +23,12 @@ def _close(q: Column, token: Column, edits: Column, prefix_length: int) -> Colum
     return test & F.when(edits > 2, F.levenshtein(q, token) <= edits).otherwise(near)
 
 
-def expand_terms(vocab: DataFrame, terms: list[tuple[int, str, float]], fuzziness: int | str, prefix_length: int = 0, max_expansions: int | None = 50) -> DataFrame:
+def expand_terms(vocab: DataFrame, terms: list[tuple[int, str, float]], fuzziness: int | str, prefix_length: int = 0, max_expansions: int | None = None) -> DataFrame:
     """Vocabulary terms near each query term: ``(term_idx, token, weight, df, ttf)``.
 
     The query's few terms are a literal array, tested in one pass over the
-    vocabulary; no join. The best ``max_expansions`` per query term are ranked
-    with a per-task limit before the shuffle.
+    vocabulary; no join. All terms count, unless the caller asks for the best
+    ``max_expansions`` per query term.
     """
     wanted = F.array(*[F.struct(F.lit(i).alias("term_idx"), F.lit(t).alias("q"), F.lit(float(w)).alias("w")) for i, t, w in terms])
     hits = vocab.select(

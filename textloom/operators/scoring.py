@@ -37,7 +37,7 @@ def _terms_frame(spark: SparkSession, terms: list[tuple[int, str, float]]) -> Da
 
 def term_scores(
     index: Collection, field: str, terms: list[tuple[int, str, float]], fuzziness: int | str | None = None,
-    prefix_length: int = 0, max_expansions: int | None = 50,
+    prefix_length: int = 0, max_expansions: int | None = None,
 ) -> DataFrame:
     """``(_id, term_idx, score)`` for each query term and each document that has it."""
     spec = index.text[field]
@@ -48,8 +48,7 @@ def term_scores(
     vocab = index.vocabulary(field, tokens).select("token", "df", "ttf", "term_bucket")
     if fuzzy:
         wanted = expand_terms(vocab, terms, fuzziness, prefix_length, max_expansions)
-        # at most max_expansions rows per query term; without that limit Spark decides by size
-        wanted = F.broadcast(wanted) if max_expansions is not None else wanted
+        # any number of rows: Spark decides by size how to join them
     else:
         # one row per literal query term
         wanted = F.broadcast(vocab.join(F.broadcast(_terms_frame(index.spark, terms)), "token"))

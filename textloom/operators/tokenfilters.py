@@ -209,7 +209,7 @@ class Elision:
     def apply(self, ts: Tokens) -> Tokens:
         words = read_words(self.articles, self.articles_path)
         if not words:
-            raise ValueError("articles or articles_path is required")
+            raise ValueError("elision got no articles, neither as a list nor from a file")
         flag = "(?i)" if self.articles_case else ""
         return ts.rewrite(lambda t: F.regexp_replace(t, f"{flag}^(?:{'|'.join(words)})['’]", ""))
 
@@ -242,10 +242,19 @@ class StemmerOverride:
     def apply(self, ts: Tokens) -> Tokens:
         rules = read_words(self.rules, self.rules_path)
         if not rules:
-            raise ValueError("rules or rules_path is required")
+            raise ValueError("stemmer_override got no rules, neither as a list nor from a file")
         table = {w.strip(): right.strip() for left, right in (r.split("=>", 1) for r in rules) for w in left.split(",")}
-        old = ts.with_field("keyword", lambda t: t["token"].isin(sorted(table)))
-        return old.rewrite(lambda t: F.coalesce(lookup(t, table), t))
+        had = "keyword" in ts.fields
+        free = (lambda t: ~t["keyword"]) if had else (lambda t: F.lit(True))
+        listed = lambda t: free(t) & t["token"].isin(sorted(table))
+        # a token that is a keyword already keeps its word, and every keyword stays one
+        fields = ts.fields if had else (*ts.fields, "keyword")
+
+        def stemmed(t: Column) -> Column:
+            values = {"token": F.when(listed(t), lookup(t["token"], table)).otherwise(t["token"]), "keyword": listed(t) | ~free(t)}
+            return F.struct(*[(values[f] if f in values else t[f]).alias(f) for f in fields])
+
+        return Tokens(F.transform(ts.array(), stemmed), fields)
 
 
 @dataclass(frozen=True)
@@ -328,7 +337,7 @@ class Keep:
     def apply(self, ts: Tokens) -> Tokens:
         words = read_words(self.keep_words, self.keep_words_path)
         if not words:
-            raise ValueError("keep_words or keep_words_path is required")
+            raise ValueError("keep got no words, so it would drop every token")
         return ts.keep(lambda t: in_words(t["token"], words, self.keep_words_case))
 
 
@@ -340,7 +349,7 @@ class KeepTypes:
 
     def apply(self, ts: Tokens) -> Tokens:
         if not self.types:
-            raise ValueError("types is required")
+            raise ValueError(f"keep_types got types={self.types!r}; name at least one token type")
         hit = lambda t: t["type"].isin(list(self.types))
         return ts.keep(hit if self.mode == "include" else lambda t: ~hit(t))
 
@@ -424,7 +433,7 @@ class KeywordMarker:
     def apply(self, ts: Tokens) -> Tokens:
         words = read_words(self.keywords, self.keywords_path)
         if bool(words) == bool(self.keywords_pattern):
-            raise ValueError("either keywords or keywords_pattern is required")
+            raise ValueError("keyword_marker takes a word list or a pattern, exactly one of the two")
         if self.keywords_pattern:
             return ts.with_field("keyword", lambda t: t["token"].rlike(f"^(?:{self.keywords_pattern})$"))
         return ts.with_field("keyword", lambda t: in_words(t["token"], words, self.ignore_case))
@@ -783,7 +792,7 @@ class CommonGrams:
     def apply(self, ts: Tokens) -> Tokens:
         words = read_words(self.common_words, self.common_words_path)
         if not words:
-            raise ValueError("common_words or common_words_path is required")
+            raise ValueError("common_grams got no words, neither as a list nor from a file")
 
         def build(a: Column) -> Column:
             common = lambda x: F.coalesce(in_words(x["token"], words, self.ignore_case), F.lit(False))

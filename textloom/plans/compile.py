@@ -8,6 +8,7 @@ one union with one aggregation on ``_id``; there is no chain of joins.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
@@ -16,9 +17,11 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from textloom.functions import geo
 from textloom.functions.dates import parse_date
 from textloom.operators.analyzers import Analyzer
-from textloom.operators.scoring import match_scores, multi_match_scores, phrase_scores, term_scores, union_all
+from textloom.operators.scoring import match_scores, multi_match_scores, phrase_scores, query_terms, term_scores, union_all
 from textloom.plans import queries as Q
+from textloom.plans.mapping import Field
 from textloom.sources.collection import Collection
+from textloom.sources.ingest import has_search_form, ip_key, searchable
 
 
 @dataclass(frozen=True)
@@ -56,18 +59,25 @@ def predicate(index: Collection, q: Q.Query) -> Column | None:
     if isinstance(q, Q.MatchAll):
         return F.lit(True)
     if isinstance(q, Q.Exists):
-        col = F.col(q.field)
-        several = isinstance(_type(index, q.field), T.ArrayType)
-        return (col.isNotNull() & (F.size(col) > 0)) if several else col.isNotNull()
+        path = _column(index, q.field)
+        several = isinstance(_type(index, path), T.ArrayType)
+        return (F.col(path).isNotNull() & (F.size(path) > 0)) if several else F.col(path).isNotNull()
     if isinstance(q, (Q.Term, Q.Prefix)) and q.field in index.text:
         return None
-    if isinstance(q, (Q.Term, Q.Range, Q.Prefix, Q.Exists)):
+    if isinstance(q, (Q.Term, Q.Range, Q.Prefix)):
         _check_indexed(index, q.field)
-        return column_test(q, F.col(q.field), _type(index, q.field), _null_value(index, q.field))
+        f, path = index.mapping.get(q.field), _column(index, q.field)
+        dtype = _type(index, path)
+        if f is None or not has_search_form(f) or isinstance(dtype, T.ArrayType):
+            return column_test(q, F.col(path), dtype, None if f is None else f.null_value)
+        derived = f"{path}__search"
+        ready = derived in index.schema_on_read.names or "__" in path
+        column = F.col(derived if derived in index.schema_on_read.names else path)
+        return column_test(q, column if ready else searchable(f, column, index.settings), dtype, None, _asked(index, f))
     if isinstance(q, Q.GeoDistance):
         return geo.within(F.col(q.field), q.lat, q.lon, geo.parse_distance(q.distance))
     if isinstance(q, Q.Nested):
-        return F.exists(q.path, lambda x: _inside(q.query, x, q.path))
+        return F.exists(q.path, lambda x: _inside(index, q.query, x, q.path))
     return None
 
 
@@ -77,9 +87,19 @@ def _check_indexed(index: Collection, name: str) -> None:
         raise ValueError(f"{name} is not indexed")
 
 
-def _null_value(index: Collection, name: str) -> object:
-    f = index.mapping.get(name)
-    return None if f is None else f.null_value
+def _column(index: Collection, name: str) -> str:
+    """The column of a field; a keyword multi-field ``a.b`` stands in ``a__b``."""
+    flat = name.replace(".", "__")
+    return flat if flat in index.schema_on_read.names else name
+
+
+def _asked(index: Collection, f: Field) -> Callable[[object], Column]:
+    """A value of a query in the form in which the field is searched."""
+    if f.type in ("ip", "ip_range"):
+        return lambda v: ip_key(F.lit(v))
+    if f.normalizer:
+        return lambda v: index.settings.get_normalizer(f.normalizer).apply(F.lit(v))
+    return F.lit
 
 
 def _type(index: Collection, name: str) -> T.DataType | None:
@@ -91,18 +111,21 @@ def _type(index: Collection, name: str) -> T.DataType | None:
     return found
 
 
-def column_test(q: Q.Query, col: Column, dtype: T.DataType | None, null_value: object = None) -> Column:
-    """Term, range and prefix on one column; plain comparisons, so that they push down."""
+def column_test(q: Q.Query, col: Column, dtype: T.DataType | None, null_value: object = None, value: Callable[[object], Column] = F.lit) -> Column:
+    """Term, range and prefix on one column; plain comparisons, so that they push down.
+
+    ``value`` gives a query's value in the form in which the column holds it.
+    """
     if null_value is not None:
         col = F.coalesce(col, F.lit(null_value))
     if isinstance(q, Q.Term):
         values = list(q.value) if isinstance(q.value, (list, tuple, set)) else [q.value]
         if isinstance(dtype, T.ArrayType):
-            return F.arrays_overlap(col, F.array(*[F.lit(v) for v in values]))
-        return col == F.lit(values[0]) if len(values) == 1 else col.isin(values)
+            return F.arrays_overlap(col, F.array(*[value(v) for v in values]))
+        return col == value(values[0]) if len(values) == 1 else col.isin([value(v) for v in values])
     if isinstance(q, Q.Prefix):
-        return col.startswith(q.text)
-    bound = (lambda v: parse_date(F.lit(v), q.format)) if q.format else F.lit
+        return col.startswith(value(q.text))
+    bound = (lambda v: parse_date(F.lit(v), q.format)) if q.format else value
     if isinstance(dtype, T.StructType) and {"gte", "lte"} <= set(dtype.names):
         # two ranges meet where each begins before the other ends
         tests = []
@@ -119,18 +142,33 @@ def column_test(q: Q.Query, col: Column, dtype: T.DataType | None, null_value: o
     return reduce(lambda a, b: a & b, tests)
 
 
-def _inside(q: Q.Query, element: Column, path: str) -> Column:
-    """A query on the fields of one nested element."""
+def _inside(index: Collection, q: Q.Query, element: Column, path: str) -> Column:
+    """A query on the fields of one nested element. Text is matched by its words, without a score."""
+    inner = lambda x: _inside(index, x, element, path)
     if isinstance(q, Q.Bool):
-        every = [_inside(x, element, path) for x in q.must + q.filter] + [~F.coalesce(_inside(x, element, path), F.lit(False)) for x in q.must_not]
-        some = [_inside(x, element, path) for x in q.should]
+        every = [inner(x) for x in q.must + q.filter] + [~F.coalesce(inner(x), F.lit(False)) for x in q.must_not]
+        some = [inner(x) for x in q.should]
         if some and not (q.must or q.filter):
             every.append(reduce(lambda a, b: a | b, some))
         return reduce(lambda a, b: a & b, every) if every else F.lit(True)
+    if not isinstance(q, (Q.Term, Q.Range, Q.Prefix, Q.Exists, Q.Match)):
+        raise ValueError(f"{type(q).__name__} is not known inside a nested query")
     name = q.field.removeprefix(path + ".")
     if isinstance(q, Q.Exists):
         return element[name].isNotNull()
-    return column_test(q, element[name], None)
+    if not isinstance(q, Q.Match):
+        return column_test(q, element[name], None)
+    f = index.mapping.get(f"{path}.{name}")
+    stored = index.settings.get_analyzer((f.analyzer if f else None) or "standard")
+    asked = _analyzer(index, q.analyzer or (f.search_analyzer if f else None)) or stored
+    words = sorted({t for _, t in query_terms(index.spark, asked, q.text)})
+    if q.fuzziness not in (None, 0, "0"):
+        raise ValueError("fuzziness is not known inside a nested query")
+    if not words:
+        return F.lit(False)
+    held = F.transform(stored.array(element[name]), lambda t: t["token"])
+    has = [F.array_contains(held, w) for w in words]
+    return reduce((lambda a, b: a & b) if q.operator.upper() == "AND" else (lambda a, b: a | b), has)
 
 
 def _analyzer(index: Collection, name: str | None) -> Analyzer | None:

@@ -38,7 +38,7 @@ class Match(Query):
     fuzziness: int | str | None = None
     prefix_length: int = 0
     operator: str = "OR"
-    max_expansions: int | None = 50
+    max_expansions: int | None = None
 
 
 @dataclass(frozen=True)
@@ -89,7 +89,7 @@ class MultiMatch(Query):
     fuzziness: int | str | None = None
     prefix_length: int = 0
     operator: str = "OR"
-    max_expansions: int | None = 50
+    max_expansions: int | None = None
 
     def __post_init__(self) -> None:
         if self.type not in MULTI_MATCH_TYPES:

@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 from fnmatch import fnmatch
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from textloom.plans import queries as Q
 from textloom.plans.compile import Filtered, compile_query
@@ -46,6 +46,8 @@ class Search:
             raise ValueError("from and search_after exclude each other")
         if self.from_ > MAX_FROM:
             raise ValueError(f"from may be at most {MAX_FROM}")
+        if self.size is not None and self.size > MAX_SIZE:
+            raise ValueError(f"a page holds at most {MAX_SIZE} hits, not {self.size}; read_all returns every hit")
         if not self.match_all and not (self.must or self.filter or self.should or self.must_not):
             raise ValueError("a search needs a clause or match_all")
 
@@ -58,12 +60,13 @@ class Search:
         return Q.Bool(must, self.filter, self.should, self.must_not)
 
     def page(self) -> int | None:
-        return None if self.size is None else max(MIN_SIZE, min(MAX_SIZE, self.size))
+        return None if self.size is None else max(MIN_SIZE, self.size)
 
 
 def source_columns(df: DataFrame, patterns: tuple[str, ...] | None) -> list[str]:
     """Column names that match a list of names and ``*`` patterns."""
-    names = [c for c in df.columns if c != "_id"]
+    # derived columns (name__...) are for searching, not part of the source
+    names = [c for c in df.columns if c != "_id" and "__" not in c]
     if patterns is None:
         return names
     return [c for c in names if any(fnmatch(c, p) for p in patterns)]
@@ -116,6 +119,18 @@ def _rescored(df: DataFrame, request: Search) -> DataFrame:
     return df.withColumn("_score", F.round("_score", SCORE_DIGITS))
 
 
+def _with_keys(index: Collection, request: Search) -> tuple[DataFrame, tuple[tuple[str, str], ...]]:
+    """The matches after the given point, with what they are sorted by: columns and their directions."""
+    df = matched(index, request)
+    if request.sort_script is not None:
+        script, order, kind = request.sort_script
+        df, key = script_column(df, script)
+        return df.withColumn("_sort_key", key.cast({"number": "double"}.get(kind, kind))), (("_sort_key", order),)
+    if not request.sort:
+        return df, (("_score", "desc"),)
+    return (df.where(after(request.sort, request.search_after)) if request.search_after else df), request.sort
+
+
 def run(index: Collection, request: Search) -> DataFrame:
     """The page of hits: ``_id``, ``_score``, source columns, in order."""
     request.validate()
@@ -132,21 +147,10 @@ def run(index: Collection, request: Search) -> DataFrame:
             cols = source_columns(index.docs, request.source)
             return index.docs.select("_id", *cols).join(F.broadcast(top), "_id").select("_id", "_score", *cols).orderBy(*best_first).limit(page)
 
-    df = matched(index, request)
-    cols = [c for c in source_columns(index.docs, request.source)]
-    if request.sort_script is not None:
-        script, order, kind = request.sort_script
-        df, key = script_column(df, script)
-        df = df.withColumn("_sort_key", key.cast({"number": "double"}.get(kind, kind)))
-        keys = _order((("_sort_key", order),))
-    elif request.sort:
-        if request.search_after:
-            df = df.where(after(request.sort, request.search_after))
-        keys = _order(request.sort)
-    else:
-        keys = best_first[:1]
-    keys.append(F.col("_id").asc())
+    cols = source_columns(index.docs, request.source)
+    df, sort = _with_keys(index, request)
     score = F.col("_score") if by_score or request.track_scores else F.lit(None).cast("double").alias("_score")
+    keys = [*_order(sort), F.col("_id").asc()]
     sorted_df = df.orderBy(*keys)
     if request.from_:
         sorted_df = sorted_df.offset(request.from_)
@@ -157,6 +161,11 @@ def run(index: Collection, request: Search) -> DataFrame:
 
 def total(index: Collection, request: Search) -> DataFrame:
     """The exact number of matches, as a one-row frame."""
+    request.validate()
+    c = compile_query(index, request.query())
+    if not isinstance(c, Filtered):
+        # the keys are distinct already: no document is read
+        return c.rows.agg(F.count(F.lit(1)).alias("total"))
     return matched(index, request).agg(F.count(F.lit(1)).alias("total"))
 
 
@@ -168,6 +177,18 @@ def read_all(index: Collection, request: Search) -> DataFrame:
 
 
 def transformed(index: Collection, request: Search, fn: Callable[[DataFrame], DataFrame], size: int) -> DataFrame:
-    """``fn`` over the ordered hits until ``size`` rows are there; ``fn`` may drop and add rows."""
-    whole = run(index, Search(**{**request.__dict__, "size": None}))
-    return fn(whole).limit(size)
+    """The first ``size`` rows of ``fn`` over the hits; ``fn`` may drop and add rows, but keeps ``_id``.
+
+    The rows of ``fn`` are put in the order of their hits, several of one hit by their own columns, so
+    which rows are kept does not depend on the plan.
+    """
+    request = Search(**{**request.__dict__, "size": None})
+    made = fn(run(index, request))
+    if "_id" not in made.columns:
+        raise ValueError("the function has to keep the column _id, which tells the place of its rows")
+    df, sort = _with_keys(index, request)
+    keys = df.select(F.col("_id").alias("_hit"), *[F.col(n).alias(f"_sort_{i}") for i, (n, _) in enumerate(sort)])
+    own = [F.col(c).asc_nulls_last() for c in made.columns if not isinstance(made.schema[c].dataType, (T.MapType, T.VariantType))]
+    placed = made.join(keys, made["_id"] == keys["_hit"])
+    order = _order(tuple((f"_sort_{i}", o) for i, (_, o) in enumerate(sort)))
+    return placed.orderBy(*order, F.col("_hit").asc(), *own).limit(size).select(*made.columns)

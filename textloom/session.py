@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -17,6 +18,7 @@ def local_session(cores: int | str = "*", app: str = "textloom") -> SparkSession
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "8m")
+        .config("spark.textloom.inputPartitions", str(os.cpu_count() if cores == "*" else cores))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
@@ -30,10 +32,13 @@ _own_dirs: dict[str, str] = {}
 def shared_dir(spark: SparkSession) -> str:
     """Folder that every executor can read, as the cluster names it.
 
-    Only where the session names none (local tests) a temporary folder is set.
+    Only a local session that names none (tests) gets a temporary folder; executors of a cluster
+    could not read it.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir names no folder that all executors share")
         # the setting cannot be changed on a running session: keep one folder per application
         app = spark.sparkContext.applicationId
         if app not in _own_dirs:
@@ -55,15 +60,10 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Give CPU-heavy analysis at least one partition per core.
+    """Deal a scan of a few small files to the number of tasks in ``spark.textloom.inputPartitions``.
 
-    A table of many files already has more splits than cores and passes through
-    untouched; only a handful of large splits is redistributed. Anything but a
-    plain scan passes through too, as counting its partitions would run it.
+    A local session sets it to its cores. A cluster leaves it unset: its tables have many splits, and
+    ``spark.sql.files.maxPartitionBytes`` is the way to change their size.
     """
-    if "Exchange" in df._jdf.queryExecution().executedPlan().toString():
-        return df
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores)
+    parts = df.sparkSession.conf.get("spark.textloom.inputPartitions", None)
+    return df.repartition(int(parts)) if parts else df

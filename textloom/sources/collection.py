@@ -17,14 +17,16 @@ from __future__ import annotations
 import json
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from textloom.operators import postings as P
 from textloom.operators.analyzers import AnalysisSettings, Analyzer
 from textloom.operators.similarity import FieldStats
-from textloom.operators.tokenfilters import EdgeNgramFilter, Shingle
+from textloom.operators.tokenfilters import Shingle
 from textloom.plans.mapping import TEXT_TYPES, Field, Mapping, evolve
 from textloom.session import materialize, spread
+from textloom.sources.ingest import searchable, typed
 
 
 SCHEMAS = {
@@ -66,8 +68,6 @@ def text_fields(mapping: Mapping, settings: AnalysisSettings) -> dict[str, TextF
                 for size in range(2, (f.max_shingle_size or 3) + 1):
                     grams = Analyzer(index_side.tokenizer, index_side.char_filters, index_side.filters + (Shingle(size, size, False),))
                     out[f"{path}._{size}gram"] = TextField(f"{path}._{size}gram", column, grams, grams, grams, **common)
-                heads = Analyzer(index_side.tokenizer, index_side.char_filters, index_side.filters + (EdgeNgramFilter(1, 20),))
-                out[f"{path}._index_prefix"] = TextField(f"{path}._index_prefix", column, heads, search_side, quote_side, **common)
         for child in f.properties:
             if f.type == "object":
                 add(child, f"{path}.{child.name}", f"{column}.{child.name}")
@@ -89,12 +89,12 @@ def forward_table(docs: DataFrame, fields: dict[str, TextField]) -> DataFrame:
         several = isinstance(_type_at(docs.schema, f.column), T.ArrayType)
         tokens = f.analyzer.values(value) if several else f.analyzer.array(value)
         terms = P.terms_of(tokens, positions=f.options in ("positions", "offsets"), freqs=f.options != "docs")
-        return F.struct(F.lit(f.name).alias("field"), F.when(value.isNotNull(), terms).alias("terms"))
+        # without frequencies the length is not in the terms
+        length = F.size(tokens).cast("bigint") if f.options == "docs" else F.aggregate(terms, F.lit(0).cast("bigint"), lambda acc, t: acc + t["tf"])
+        return F.struct(F.lit(f.name).alias("field"), F.when(value.isNotNull(), length).alias("dl"), F.when(value.isNotNull(), terms).alias("terms"))
 
     analyzed = docs.select("_id", F.explode(F.array(*[one(f) for f in fields.values()])).alias("f"))
-    rows = analyzed.select("f.field", "_id", "f.terms").where(F.col("terms").isNotNull())
-    length = F.aggregate("terms", F.lit(0).cast("bigint"), lambda acc, t: acc + t["tf"])
-    return rows.select("field", "_id", length.alias("dl"), "terms")
+    return analyzed.select("f.field", "_id", "f.dl", "f.terms").where(F.col("terms").isNotNull())
 
 
 def _type_at(schema: T.StructType, path: str) -> T.DataType:
@@ -134,11 +134,24 @@ class Collection:
     ) -> Collection:
         """Write ``docs`` (a string ``_id`` and the mapped columns) and build its index tables."""
         settings = settings or AnalysisSettings()
-        if "/" in path.rstrip("/").rsplit("/", 1)[-1]:
-            raise ValueError("the name may not contain '/'")
+        if not path.strip("/"):
+            raise ValueError(f"path={path!r} names no folder for the collection")
         mapping.validate(settings)
         return _write(spark, path, 1, docs, None, mapping, settings, list(sort), buckets)
 
+    @staticmethod
+    def create_or_evolve(
+        spark: SparkSession, path: str, docs: DataFrame, mapping: Mapping, settings: AnalysisSettings | None = None, **options
+    ) -> Collection:
+        """Open the collection and evolve its mapping, or create it from ``docs`` where there is none.
+
+        An existing collection keeps its documents; ``docs`` is not written to it.
+        """
+        if not exists(spark, path):
+            return Collection.create(spark, path, docs, mapping, settings, **options)
+        found = Collection.open(spark, path)
+        return found.put_mapping(mapping, settings)
+
     def _dir(self, table: str) -> str:
         return f"{self.path}/{table}/v={self.version}"
 
@@ -184,9 +197,10 @@ class Collection:
     # --- writing: every change is a new version
 
     def put(self, batch: DataFrame, order: list[str] = ()) -> Collection:
-        """Replace or add documents by ``_id``; the last of a batch wins.
+        """Replace or add documents by ``_id``; the last of a batch in ``order`` wins.
 
-        Only the batch is analyzed; the forward rows of the others are kept.
+        Without an order the batch may hold an id once only. Only the batch is analyzed; the forward
+        rows of the others are kept.
         """
         # documents and their terms must come from the same row, so the choice is written down first
         latest = materialize(last_per_id(batch, list(order)), "batch")
@@ -208,7 +222,7 @@ class Collection:
         merged, changed = evolve(self.mapping, new, settings)
         if not changed and merged.dynamic == self.mapping.dynamic and settings == self.settings:
             return self
-        docs = align(self.docs, merged)
+        docs = with_multi_fields(align(self.docs, merged), merged, settings)
         after = text_fields(merged, settings)
         redo = {n: f for n, f in after.items() if n not in self.text or self.text[n].analyzer != f.analyzer or self.text[n].options != f.options}
         kept = self.forward.where(F.col("field").isin(sorted(set(after) - set(redo))))
@@ -228,29 +242,39 @@ def _write(spark, path, version, docs, forward, mapping, settings, sort, buckets
     def at(table: str) -> str:
         return f"{path}/{table}/v={version}"
 
-    sorted_docs(docs, sort).write.mode("overwrite").parquet(at("docs"))
+    # a version is written once: a second writer of the same version fails here
+    sorted_docs(docs, sort).write.mode("errorifexists").option("parquet.bloom.filter.enabled#_id", "true").parquet(at("docs"))
     stored = spark.read.schema(docs.schema).parquet(at("docs"))
     if forward is None:
         forward = forward_table(spread(stored), text_fields(mapping, settings))
-    forward.write.mode("overwrite").parquet(at("forward"))
+    forward.write.parquet(at("forward"))
     forward = spark.read.schema(SCHEMAS["forward"]).parquet(at("forward"))
     for name, table in (("postings", P.postings(forward, buckets)), ("vocabulary", P.vocabulary(forward, buckets))):
         # rebalance: adaptive execution splits the bucket of a very common term and merges small ones
         (
             table.hint("rebalance", "field", "term_bucket")
             .sortWithinPartitions("field", "term_bucket", "token")
-            .write.mode("overwrite").partitionBy("field", "term_bucket").parquet(at(name))
+            .write.partitionBy("field", "term_bucket").parquet(at(name))
         )
-    P.field_stats(forward).coalesce(1).write.mode("overwrite").parquet(at("field_stats"))
+    P.field_stats(forward).coalesce(1).write.parquet(at("field_stats"))
     meta = {"mapping": mapping.to_json(), "settings": settings.to_json(), "buckets": buckets, "sort": sort, "schema": docs.schema.json()}
-    spark.range(1).select(F.lit(json.dumps(meta, ensure_ascii=False)).alias("value")).coalesce(1).write.mode("overwrite").text(at("meta"))
+    spark.range(1).select(F.lit(json.dumps(meta, ensure_ascii=False)).alias("value")).coalesce(1).write.text(at("meta"))
     return Collection(spark, path, meta, version)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a folder holds a collection with a finished version."""
+    try:
+        return not spark.read.schema("value string, v int").text(f"{path}/meta").limit(1).isEmpty()
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+
+
 def sorted_docs(docs: DataFrame, sort: list[tuple[str, str]]) -> DataFrame:
-    """Range-partition and sort by the index sort, so that row groups can be skipped."""
-    if not sort:
-        return docs
+    """Range-partition and sort by the index sort, or else by id, so that row groups can be skipped."""
+    sort = sort or [("_id", "asc")]
     keys = [F.col(f).asc_nulls_last() if o == "asc" else F.col(f).desc_nulls_last() for f, o in sort]
     return docs.repartitionByRange(*keys).sortWithinPartitions(*keys)
 
@@ -259,7 +283,11 @@ def last_per_id(batch: DataFrame, order: list[str], keys: tuple[str, ...] = ("_i
     """One row per key, the greatest in ``order``; combined before the shuffle, so a hot key is cheap."""
     others = [c for c in batch.columns if c not in keys]
     if not order:
-        return batch.dropDuplicates(list(keys))
+        # nothing tells which of several rows is the last one
+        rows = batch.groupBy(*keys).agg(F.first(F.struct(*others)).alias("row"), F.count(F.lit(1)).alias("n"))
+        message = F.concat(F.lit("several rows for "), F.to_json(F.struct(*keys)), F.lit(", and no order to choose by"))
+        row = F.when(F.col("n") == 1, F.col("row")).otherwise(F.raise_error(message).cast(rows.schema["row"].dataType))
+        return rows.select(*keys, row.alias("row")).select(*keys, "row.*").select(*batch.columns)
     rank = F.struct(*[F.col(c) for c in order])
     newest = batch.groupBy(*keys).agg(F.max_by(F.struct(*others), rank).alias("row"))
     return newest.select(*keys, "row.*").select(*batch.columns)
@@ -285,6 +313,17 @@ def scripted_update(docs: DataFrame, where: Column, assignments: dict[str, str],
     return changed
 
 
+def with_multi_fields(docs: DataFrame, mapping: Mapping, settings: AnalysisSettings) -> DataFrame:
+    """The documents with a column for every multi-field that is not text and has none yet."""
+    new = {
+        f"{f.name}__{sub.name}": searchable(sub, typed(sub, F.col(f.name), docs.schema[f.name].dataType), settings)
+        for f in mapping.fields
+        for sub in f.fields
+        if sub.type not in TEXT_TYPES and f.name in docs.columns and f"{f.name}__{sub.name}" not in docs.columns
+    }
+    return docs.withColumns(new) if new else docs
+
+
 def align(docs: DataFrame, mapping: Mapping) -> DataFrame:
     """The documents with every mapped column, new ones as NULL."""
     have = set(docs.columns)
