@@ -1,15 +1,18 @@
 """A searchable collection: a folder of Parquet tables on shared storage.
 
-``docs``        typed documents, range-partitioned by the index sort if there is one
+``docs``        typed documents, range-partitioned by the index sort, or else by id
 ``forward``     one row per (field, document): its length and its distinct terms
 ``postings``    one row per (field, term, document), partitioned by field and term bucket
 ``vocabulary``  document and total frequency per (field, term), same partitions
 ``field_stats`` two totals per field
-``meta``        mapping, settings and options as JSON
-
-A change writes a new version next to the old one, so that a lost executor or a
-failed job leaves the old version whole; ``meta`` is written last and makes the
-new version visible.
+``gone``        ids that a change replaced or deleted
+``meta``        mapping, settings, options and the base version as JSON
+
+Every table is divided by version. A change writes what it adds, and the ids that no longer count in
+earlier versions; its vocabulary and totals are differences. A reader takes the versions from the base
+on without what later ones replaced, so a change costs what its batch costs. ``compact`` writes a new
+base. ``meta`` is written last and makes a version visible; a version is never overwritten, so of two
+writers of the same version one fails.
 """
 
 from __future__ import annotations
@@ -18,7 +21,7 @@ import json
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession, functions as F, types as T
 
 from textloom.operators import postings as P
 from textloom.operators.analyzers import AnalysisSettings, Analyzer
@@ -34,6 +37,7 @@ SCHEMAS = {
     "postings": "token string, _id string, tf bigint, dl bigint, positions array<int>, field string, term_bucket int",
     "vocabulary": "token string, df bigint, ttf bigint, field string, term_bucket int",
     "field_stats": "field string, n_docs bigint, n_tokens bigint",
+    "gone": "_id string",
 }
 
 
@@ -111,11 +115,13 @@ class Collection:
         self.settings = AnalysisSettings.from_json(meta["settings"])
         self.buckets: int = meta["buckets"]
         self.sort: list[tuple[str, str]] = [tuple(s) for s in meta["sort"]]
+        self.base: int = meta["base"]
         self.text = text_fields(self.mapping, self.settings)
         # a version never changes, so its files are listed once
         self._read: dict[str, DataFrame] = {}
         # one row per field of the mapping: a bounded read
-        self.stats = {r["field"]: FieldStats(r["n_docs"], r["n_tokens"]) for r in self._table("field_stats").collect()}
+        totals = self._parts("field_stats").groupBy("field").agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens"))
+        self.stats = {r["field"]: FieldStats(r["n_docs"], r["n_tokens"]) for r in totals.collect() if r["n_docs"]}
         self.schema_on_read: T.StructType = T.StructType.fromJson(json.loads(meta["schema"]))
 
     # --- opening and creating
@@ -152,27 +158,33 @@ class Collection:
         found = Collection.open(spark, path)
         return found.put_mapping(mapping, settings)
 
-    def _dir(self, table: str) -> str:
-        return f"{self.path}/{table}/v={self.version}"
-
-    def _table(self, table: str) -> DataFrame:
+    def _parts(self, table: str) -> DataFrame:
+        """All rows of a table from the base version to this one, with their version ``v``."""
         if table not in self._read:
-            schema = self.schema_on_read if table == "docs" else SCHEMAS[table]
-            self._read[table] = self.spark.read.schema(schema).parquet(self._dir(table))
+            schema = self.schema_on_read if table == "docs" else T.StructType.fromDDL(SCHEMAS[table])
+            rows = self.spark.read.schema(T.StructType([*schema.fields, T.StructField("v", T.IntegerType())])).parquet(f"{self.path}/{table}")
+            self._read[table] = rows.where(F.col("v").between(self.base, self.version))
         return self._read[table]
 
+    def _live(self, rows: DataFrame) -> DataFrame:
+        """Rows of documents that no later version replaced or deleted."""
+        if self.version == self.base:
+            return rows.drop("v")
+        gone = self._parts("gone").groupBy(F.col("_id").alias("_gone")).agg(F.max("v").alias("_at"))
+        return rows.join(gone, (F.col("_id") == F.col("_gone")) & (F.col("v") < F.col("_at")), "left_anti").drop("v")
+
     # --- reading
 
     @property
     def docs(self) -> DataFrame:
-        return self._table("docs")
+        return self._live(self._parts("docs"))
 
     @property
     def forward(self) -> DataFrame:
-        return self._table("forward")
+        return self._live(self._parts("forward"))
 
     def _by_term(self, table: str, field: str, tokens: list[str] | None) -> DataFrame:
-        df = self._table(table).where(F.col("field") == field)
+        df = self._parts(table).where(F.col("field") == field)
         if tokens is not None:
             buckets = sorted({P.bucket_of(t, self.buckets) for t in tokens})
             df = df.where(F.col("term_bucket").isin(buckets) & F.col("token").isin(sorted(set(tokens))))
@@ -180,10 +192,16 @@ class Collection:
 
     def postings(self, field: str, tokens: list[str] | None = None) -> DataFrame:
         """Postings of a field; literal tokens prune the scan to their buckets."""
-        return self._by_term("postings", field, tokens)
+        return self._live(self._by_term("postings", field, tokens))
 
     def vocabulary(self, field: str, tokens: list[str] | None = None) -> DataFrame:
-        return self._by_term("vocabulary", field, tokens)
+        """Terms of a field with their frequencies."""
+        rows = self._by_term("vocabulary", field, tokens)
+        if self.version == self.base:
+            return rows.drop("v")
+        # later versions hold differences
+        total = rows.groupBy("token", "field", "term_bucket").agg(F.sum("df").alias("df"), F.sum("ttf").alias("ttf"))
+        return total.where("df > 0").select("token", "df", "ttf", "field", "term_bucket")
 
     def get(self, _id: str) -> DataFrame:
         return self.docs.where(F.col("_id") == _id)
@@ -199,18 +217,41 @@ class Collection:
     def put(self, batch: DataFrame, order: list[str] = ()) -> Collection:
         """Replace or add documents by ``_id``; the last of a batch in ``order`` wins.
 
-        Without an order the batch may hold an id once only. Only the batch is analyzed; the forward
-        rows of the others are kept.
+        Without an order the batch may hold an id once only, and an id may never be missing. Only the
+        batch is analyzed and written; of the replaced documents only their terms are looked up.
         """
         # documents and their terms must come from the same row, so the choice is written down first
-        latest = materialize(last_per_id(batch, list(order)), "batch")
-        docs = upsert(self.docs, latest)
-        forward = self.forward.join(latest.select("_id"), "_id", "left_anti").unionByName(forward_table(latest, self.text))
-        return self._next(docs, forward)
+        latest = materialize(required(last_per_id(batch, list(order))), "batch")
+        return self._change(align(latest, self.mapping), latest.select("_id"))
 
     def delete(self, ids: DataFrame) -> Collection:
-        gone = ids.select("_id").distinct()
-        return self._next(self.docs.join(gone, "_id", "left_anti"), self.forward.join(gone, "_id", "left_anti"))
+        return self._change(None, materialize(ids.select("_id").distinct(), "deleted"))
+
+    def _change(self, added: DataFrame | None, gone: DataFrame) -> Collection:
+        """Write the next version: documents to add, and ids that no longer count before it."""
+        version = self.version + 1
+        old = self.forward.join(gone, "_id", "left_semi")
+        new = self.forward.limit(0)
+        schema = self.schema_on_read
+        if added is not None:
+            schema = T.StructType([*schema.fields, *(f for f in added.schema.fields if f.name not in schema.names)])
+            _put(sorted_docs(added, self.sort).write.option("parquet.bloom.filter.enabled#_id", "true"), self.path, "docs", version)
+            stored = self.spark.read.schema(added.schema).parquet(f"{self.path}/docs/v={version}")
+            _put(forward_table(stored, self.text).write, self.path, "forward", version)
+            new = self.spark.read.schema(SCHEMAS["forward"]).parquet(f"{self.path}/forward/v={version}")
+        _put(gone.write, self.path, "gone", version)
+        _terms(P.postings(new, self.buckets), self.path, "postings", version)
+        sides = [(P.vocabulary(new, self.buckets), 1), (P.vocabulary(old, self.buckets), -1)]
+        words = [df.select("field", "token", "term_bucket", (F.col("df") * s).alias("df"), (F.col("ttf") * s).alias("ttf")) for df, s in sides]
+        change = words[0].unionByName(words[1]).groupBy("field", "token", "term_bucket").agg(F.sum("df").alias("df"), F.sum("ttf").alias("ttf"))
+        _terms(change.where("df <> 0 OR ttf <> 0").select("token", "df", "ttf", "field", "term_bucket"), self.path, "vocabulary", version)
+        totals = P.field_stats(new).unionByName(P.field_stats(old).select("field", (-F.col("n_docs")).alias("n_docs"), (-F.col("n_tokens")).alias("n_tokens")))
+        _put(totals.coalesce(1).write, self.path, "field_stats", version)
+        return _publish(self.spark, self.path, version, self.base, schema, self.mapping, self.settings, self.sort, self.buckets)
+
+    def compact(self) -> Collection:
+        """Write the current state as a new base, so that readers no longer merge versions."""
+        return self._next(self.docs, self.forward)
 
     def update(self, where: Column, assignments: dict[str, str], params: dict | None = None) -> Collection:
         """Scripted update of the documents that match ``where``; only they are analyzed again."""
@@ -238,27 +279,37 @@ class Collection:
         )
 
 
-def _write(spark, path, version, docs, forward, mapping, settings, sort, buckets) -> Collection:
-    def at(table: str) -> str:
-        return f"{path}/{table}/v={version}"
-
+def _put(writer: DataFrameWriter, path: str, table: str, version: int) -> None:
     # a version is written once: a second writer of the same version fails here
-    sorted_docs(docs, sort).write.mode("errorifexists").option("parquet.bloom.filter.enabled#_id", "true").parquet(at("docs"))
-    stored = spark.read.schema(docs.schema).parquet(at("docs"))
+    writer.mode("errorifexists").parquet(f"{path}/{table}/v={version}")
+
+
+def _terms(rows: DataFrame, path: str, table: str, version: int) -> None:
+    # rebalance: adaptive execution splits the bucket of a very common term and merges small ones
+    dealt = rows.hint("rebalance", "field", "term_bucket").sortWithinPartitions("field", "term_bucket", "token")
+    _put(dealt.write.partitionBy("field", "term_bucket"), path, table, version)
+
+
+def _write(spark, path, version, docs, forward, mapping, settings, sort, buckets) -> Collection:
+    """Write a base version: all documents, and their terms where they are given."""
+    at = lambda table: f"{path}/{table}/v={version}"
+    _put(sorted_docs(docs, sort).write.option("parquet.bloom.filter.enabled#_id", "true"), path, "docs", version)
     if forward is None:
+        stored = spark.read.schema(docs.schema).parquet(at("docs"))
         forward = forward_table(spread(stored), text_fields(mapping, settings))
-    forward.write.parquet(at("forward"))
+    _put(forward.write, path, "forward", version)
     forward = spark.read.schema(SCHEMAS["forward"]).parquet(at("forward"))
-    for name, table in (("postings", P.postings(forward, buckets)), ("vocabulary", P.vocabulary(forward, buckets))):
-        # rebalance: adaptive execution splits the bucket of a very common term and merges small ones
-        (
-            table.hint("rebalance", "field", "term_bucket")
-            .sortWithinPartitions("field", "term_bucket", "token")
-            .write.partitionBy("field", "term_bucket").parquet(at(name))
-        )
-    P.field_stats(forward).coalesce(1).write.parquet(at("field_stats"))
-    meta = {"mapping": mapping.to_json(), "settings": settings.to_json(), "buckets": buckets, "sort": sort, "schema": docs.schema.json()}
-    spark.range(1).select(F.lit(json.dumps(meta, ensure_ascii=False)).alias("value")).coalesce(1).write.text(at("meta"))
+    _put(docs.select("_id").limit(0).write, path, "gone", version)
+    _terms(P.postings(forward, buckets), path, "postings", version)
+    _terms(P.vocabulary(forward, buckets), path, "vocabulary", version)
+    _put(P.field_stats(forward).coalesce(1).write, path, "field_stats", version)
+    return _publish(spark, path, version, version, docs.schema, mapping, settings, sort, buckets)
+
+
+def _publish(spark, path, version, base, schema, mapping, settings, sort, buckets) -> Collection:
+    meta = {"mapping": mapping.to_json(), "settings": settings.to_json(), "buckets": buckets, "sort": sort, "base": base, "schema": schema.json()}
+    text = spark.range(1).select(F.lit(json.dumps(meta, ensure_ascii=False)).alias("value")).coalesce(1)
+    text.write.mode("errorifexists").text(f"{path}/meta/v={version}")
     return Collection(spark, path, meta, version)
 
 
@@ -293,10 +344,14 @@ def last_per_id(batch: DataFrame, order: list[str], keys: tuple[str, ...] = ("_i
     return newest.select(*keys, "row.*").select(*batch.columns)
 
 
+def required(rows: DataFrame, keys: tuple[str, ...] = ("_id",)) -> DataFrame:
+    """The same rows; a missing key is an error at run time."""
+    return rows.withColumns({k: F.coalesce(k, F.raise_error(F.lit(f"{k} is required")).cast(rows.schema[k].dataType)) for k in keys})
+
+
 def upsert(docs: DataFrame, latest: DataFrame, keys: tuple[str, ...] = ("_id",)) -> DataFrame:
     """Full replacement by key; a missing key is an error at run time."""
-    for k in keys:
-        latest = latest.withColumn(k, F.coalesce(k, F.raise_error(F.lit(f"{k} is required")).cast(latest.schema[k].dataType)))
+    latest = required(latest, keys)
     return docs.join(latest.select(*keys), list(keys), "left_anti").unionByName(latest, allowMissingColumns=True)
 
 

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from textloom.functions.arrays import let
 from textloom.functions.dates import parse_date
 from textloom.operators.analyzers import AnalysisSettings
 from textloom.plans.mapping import Field, Mapping
@@ -30,7 +30,7 @@ def ip_key(ip: Column) -> Column:
     quad_hex = lambda text: F.array_join(F.transform(F.split(text, r"\."), lambda part: F.lpad(F.lower(F.hex(part.try_cast("bigint"))), 2, "0")), "")
     # the last two groups may be written as an IPv4 address
     mapped = lambda pair: F.concat(F.regexp_replace(ip, f"{quad}$", ""), F.substring(pair, 1, 4), F.lit(":"), F.substring(pair, 5, 4))
-    plain = F.when(ip.rlike(f":{quad}$"), _let(quad_hex(F.regexp_extract(ip, f":({quad})$", 1)), mapped)).otherwise(ip)
+    plain = F.when(ip.rlike(f":{quad}$"), let(quad_hex(F.regexp_extract(ip, f":({quad})$", 1)), mapped)).otherwise(ip)
     groups = lambda text: F.filter(F.split(F.coalesce(text, F.lit("")), ":"), lambda g: g != "")
 
     def filled(h: Column) -> Column:
@@ -41,19 +41,14 @@ def ip_key(ip: Column) -> Column:
 
     def digits(text: Column) -> Column:
         parts = lambda h: F.struct(groups(F.get(h, F.lit(0))).alias("left"), groups(F.get(h, F.lit(1))).alias("right"), F.size(h).alias("halves"))
-        eight = _let(_let(F.split(F.lower(text), "::"), parts), filled)
-        return _let(eight, lambda g: F.when(F.size(g) == 8, F.array_join(F.transform(g, lambda x: F.lpad(x, 4, "0")), "")))
+        eight = let(let(F.split(F.lower(text), "::"), parts), filled)
+        return let(eight, lambda g: F.when(F.size(g) == 8, F.array_join(F.transform(g, lambda x: F.lpad(x, 4, "0")), "")))
 
     wrong = r"[^0-9A-Fa-f:]|^:(?!:)|[^:]:$|:::|[0-9A-Fa-f]{5}"
-    six = _let(plain, lambda text: F.when(~text.rlike(wrong), digits(text)))
+    six = let(plain, lambda text: F.when(~text.rlike(wrong), digits(text)))
     return F.when(ip.rlike(f"^{quad}$"), F.concat(F.lit("0" * 20 + "ffff"), quad_hex(ip))).when(ip.contains(":"), six)
 
 
-def _let(value: Column, fn: Callable[[Column], Column]) -> Column:
-    """``fn`` of a value that is computed once, however often ``fn`` names it."""
-    return F.get(F.transform(F.array(value), fn), F.lit(0))
-
-
 def typed(f: Field, raw: Column, raw_type: T.DataType) -> Column:
     """The value of a field, NULL where the raw value does not fit its type."""
     target = f.spark_type()
