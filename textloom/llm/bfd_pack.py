@@ -15,7 +15,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from textloom.llm.catalog import id_and_text, register, table
-from textloom.llm.text import chunks, texts_of
+from textloom.llm.text import chunks, slices, texts_of
 from textloom.llm.token_ids import document_ids
 
 LENGTH = 1024
@@ -132,7 +132,7 @@ def pack_rows(docs: DataFrame, length: int = LENGTH, pad: int = PAD, window: int
             ids.clear()
             tokens = 0
 
-        for batch in batches:
+        for batch in slices(batches):
             texts = texts_of(batch.column(1))
             for lo, hi in chunks(texts):
                 found = document_ids(texts[lo:hi])

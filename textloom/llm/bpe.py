@@ -18,7 +18,7 @@ import numpy as np
 from textloom.llm.pretokens import Matches
 
 #: Distinct matches whose ids a worker keeps; those met later are encoded each time.
-CACHE = 500_000
+CACHE = 100_000
 #: Tree leaves worked on at once.
 LEAVES = 1 << 17
 

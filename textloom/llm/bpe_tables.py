@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from textloom.llm.bpe import decode_ids, encode_texts
 from textloom.llm.catalog import id_and_text, register, table
-from textloom.llm.text import chunks, texts_of
+from textloom.llm.text import chunks, slices, texts_of
 
 RANKS = "byte_bpe_50k.tiktoken"
 
@@ -23,7 +23,7 @@ def encode_table(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
     source = id_and_text(docs, id_col, text_col)
 
     def encode(batches):
-        for batch in batches:
+        for batch in slices(batches):
             texts = texts_of(batch.column(1))
             for lo, hi in chunks(texts):
                 ids, firsts = encode_texts(path, texts[lo:hi])

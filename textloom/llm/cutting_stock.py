@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from textloom.llm.catalog import id_and_text, register, table
 from textloom.llm.numbering import number_rows
-from textloom.llm.text import chunks, texts_of
+from textloom.llm.text import chunks, slices, texts_of
 from textloom.llm.token_ids import document_ids
 from textloom.session import materialize
 
@@ -135,7 +135,7 @@ def pieces_of(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", tex
     source = id_and_text(docs, id_col, text_col)
 
     def cut(batches):
-        for batch in batches:
+        for batch in slices(batches):
             texts = texts_of(batch.column(1))
             for lo, hi in chunks(texts):
                 owner, starts, sizes, checks, totals = [], [], [], [], []

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from textloom.llm.catalog import id_and_text, register, table
 from textloom.llm.components import components
-from textloom.llm.text import Words, chunks, shingles, texts_of
+from textloom.llm.text import Words, chunks, shingles, slices, texts_of
 from textloom.session import materialize
 
 WIDTH = 5
@@ -84,7 +84,7 @@ def signatures(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """``doc_id, key, grams, labels, sketch``: one row per document; ``key`` is null without words."""
 
     def sign(batches):
-        for batch in batches:
+        for batch in slices(batches):
             texts = texts_of(batch.column(1))
             for lo, hi in chunks(texts):
                 g, firsts = _gram_sets(texts[lo:hi], width)
@@ -303,7 +303,7 @@ def _sets_of(source: DataFrame, reps: DataFrame, width: int) -> DataFrame:
     texts = source.join(reps, source["doc_id"] == reps["rep"]).select("rep", "text")
 
     def cut(batches):
-        for batch in batches:
+        for batch in slices(batches):
             texts = texts_of(batch.column(1))
             for lo, hi in chunks(texts):
                 g, firsts = _gram_sets(texts[lo:hi], width)

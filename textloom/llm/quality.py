@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from textloom.llm.catalog import held_out, register, table
 from textloom.llm.learning import labelled_sample
-from textloom.llm.text import LETTER, NUMBER, SPACE, Words, chunks, texts_of, uppers
+from textloom.llm.text import LETTER, NUMBER, SPACE, Words, chunks, slices, texts_of, uppers
 
 #: Labelled rows to learn from, at most.
 SAMPLE = 6000
@@ -162,7 +162,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, limit: int = SAMPLE) -> Mach
     inputs = _inputs(rows).join(F.broadcast(rows.select(F.col("doc_id").alias("_id"), "label")), F.col("doc_id") == F.col("_id")).select("label", "text", "n_chars", "doc_id")
 
     def featurise(batches):
-        for batch in batches:
+        for batch in slices(batches):
             for lo, hi, x in _featured(batch):
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(3)[lo:hi], batch.column(0)[lo:hi], pa.array([r.astype(np.float32).tobytes() for r in x], pa.binary())], names=["doc_id", "label", "x"]
@@ -179,7 +179,7 @@ def score_quality(docs: DataFrame, model: Machine) -> DataFrame:
     source = _inputs(docs)
 
     def score(batches):
-        for batch in batches:
+        for batch in slices(batches):
             for lo, hi, x in _featured(batch):
                 yield pa.RecordBatch.from_arrays([batch.column(0)[lo:hi], pa.array(model.scores(x).astype(float), pa.float64())], names=["doc_id", "score"])
 
@@ -192,7 +192,7 @@ def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD)
     text_at, size_at = docs.columns.index("text"), docs.columns.index("n_chars") if "n_chars" in docs.columns else None
 
     def keep(batches):
-        for batch in batches:
+        for batch in slices(batches):
             texts = texts_of(batch.column(text_at))
             sizes = [len(t) for t in texts] if size_at is None else [n or 0 for n in batch.column(size_at).to_pylist()]
             for lo, hi in chunks(texts):

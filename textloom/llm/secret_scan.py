@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from textloom.llm.automaton import compile_rules, scan
 from textloom.llm.catalog import id_and_text, register, table
-from textloom.llm.text import texts_of
+from textloom.llm.text import slices, texts_of
 
 
 def either_case(word: str) -> str:
@@ -73,7 +73,7 @@ def find_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str =
 
     def find(batches):
         kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
-        for batch in batches:
+        for batch in slices(batches):
             rows = [[{"kind": k, "start": s, "end": e} for s, k, e in spans_of(automaton, rules, t)] for t in texts_of(batch.column(1))]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, kind)], names=["doc_id", "spans"])
 
@@ -98,7 +98,7 @@ def mask_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text_col: str
     automaton = compile_rules({r.kind: r.pattern for r in rules})
 
     def mask(batches):
-        for batch in batches:
+        for batch in slices(batches):
             at = batch.schema.get_field_index(text_col)
             texts = batch.column(at).to_pylist()
             changed = {i: masked(t, spans) for i, t in enumerate(texts) if t and (spans := spans_of(automaton, rules, t))}

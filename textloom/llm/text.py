@@ -18,7 +18,7 @@ import pyarrow as pa
 OTHER, LETTER, NUMBER, SPACE = 0, 1, 2, 3
 
 #: Code points of one chunk, unless a single text is longer, and texts at most.
-CHUNK = 1 << 20
+CHUNK = 1 << 19
 CHUNK_TEXTS = 2048
 
 _BASE = 0x9E3779B97F4A7C15
@@ -46,6 +46,13 @@ def uppers() -> np.ndarray:
     return np.fromiter((unicodedata.category(chr(cp)) in ("Lu", "Lt") for cp in range(sys.maxunicode + 1)), bool, sys.maxunicode + 1)
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """The batches in smaller ones, so that few texts are Python objects at a time."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 def texts_of(column: pa.Array) -> list[str]:
     return [t or "" for t in column.to_pylist()]
 

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from textloom.llm.catalog import held_out, id_and_text, register, table
 from textloom.llm.learning import labelled_sample
-from textloom.llm.text import Words, chunks, span_hashes, texts_of
+from textloom.llm.text import Words, chunks, slices, span_hashes, texts_of
 
 #: Labelled rows to learn from, at most, and word features, at most.
 SAMPLE = 5000
@@ -133,7 +133,7 @@ def fit_severity(docs: DataFrame, labels: DataFrame, limit: int = SAMPLE, grades
     sample = labelled_sample(docs, labels, "toxic", limit)
 
     def words(batches):
-        for batch in batches:
+        for batch in slices(batches):
             texts = texts_of(batch.column(2))
             for lo, hi in chunks(texts):
                 owner, hashes = present(texts[lo:hi])
@@ -158,7 +158,7 @@ def score_severity(docs: DataFrame, model: Severity, id_col: str = "doc_id", tex
     source = id_and_text(docs, id_col, text_col)
 
     def score(batches):
-        for batch in batches:
+        for batch in slices(batches):
             texts = texts_of(batch.column(1))
             for lo, hi in chunks(texts):
                 above = model.above(texts[lo:hi])
