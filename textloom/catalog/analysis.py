@@ -377,6 +377,11 @@ token_filter(
     sql_census(f"SELECT CASE WHEN token IN ('the', 'les', 'der') THEN 'le' WHEN token = 'and' THEN 'et' ELSE token END AS token, token IN ('the', 'les', 'der', 'and') AS keyword, position FROM ({sql_tokens(STD_LOW)}) s2", "keyword"),
     extra=("keyword",),
 )
+token_filter(
+    "tf_marker_override", (TF.KeywordMarker(("the", "of")), TF.StemmerOverride(("the, les, der => le", "and => et"))),
+    sql_census(f"SELECT CASE WHEN token IN ('les', 'der') THEN 'le' WHEN token = 'and' THEN 'et' ELSE token END AS token, token IN ('the', 'of', 'les', 'der', 'and') AS keyword, position FROM ({sql_tokens(STD_LOW)}) s2", "keyword"),
+    extra=("keyword",),
+)
 token_filter(
     "tf_keyword_marker", (TF.KeywordMarker(keywords_pattern="th.*"),),
     sql_census(f"SELECT *, regexp_matches(token, '^(?:th.*)$') AS keyword FROM ({sql_tokens(STD_LOW)}) s2", "keyword"), extra=("keyword",),

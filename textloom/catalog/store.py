@@ -222,6 +222,20 @@ def create_or_evolve(spark, sf):
     return found.select("_id", "p_name", F.col("p_brand__key").alias("brand"))
 
 
+@register("bulk_route", f"SELECT 'events_' || (CAST(_id AS BIGINT) % 2) AS _index, _id, event_id, event_type FROM ({_LAST.format(src='SELECT * FROM (' + _EVENT + ') e0')}) x WHERE event_type = 'view' OR event_type = 'click'")
+def bulk_route(spark, sf):
+    """One batch for two collections, then a search in each."""
+    df = events(spark, sf).select("_id", "event_id", "event_type", "ts").withColumn("_index", F.concat(F.lit("events_"), (F.col("_id").cast("bigint") % 2).cast("string")))
+    mapping = Mapping((Field("event_id", "long"), Field("event_type", "text"), Field("ts", "date")))
+    empty = df.drop("_index").limit(0)
+    targets = {n: Collection.create(spark, new_table_path(spark, n), empty, mapping, buckets=4) for n in ("events_0", "events_1")}
+    found = [
+        R.matched(c, R.Search(must=(Q.Match("event_type", "view click"),))).select(F.lit(n).alias("_index"), "_id", "event_id", "event_type")
+        for n, c in C.bulk_put(targets, df, ["ts", "event_id"]).items()
+    ]
+    return found[0].unionByName(found[1])
+
+
 _IP = "'10.' || (user_id % 256) || '.' || (event_id % 256) || '.1'"
 _IP_NUMBER = "((user_id % 256) * 65536 + (event_id % 256) * 256 + 1)"
 

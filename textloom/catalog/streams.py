@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame, functions as F
 
 from textloom.catalog.common import register, table
 from textloom.operators import analyzers as A, tokenizers as TK
-from textloom.plans.compile import column_test
-from textloom.plans import queries as Q
+from textloom.plans import queries as Q, search as R
+from textloom.plans.mapping import Field, Mapping
 from textloom.session import new_table_path
+from textloom.sources.collection import Collection
 from textloom.streaming import jobs
 
 SCHEMA = "event_id bigint, ts timestamp, user_id bigint, event_type string, value double, props string"
@@ -58,8 +59,19 @@ def stream_tokens(spark, sf):
 
 @register("stream_match", "SELECT event_id, event_type, value FROM events WHERE event_type IN ('error', 'click') AND value >= 5 AND value < 50 AND NOT starts_with(props, '{\"k\": 1')")
 def stream_match(spark, sf):
-    kind = column_test(Q.Term("event_type", ["error", "click"]), F.col("event_type"), None)
-    value = column_test(Q.Range("value", gte=5.0, lt=50.0), F.col("value"), None)
-    props = column_test(Q.Prefix("props", '{"k": 1'), F.col("props"), None)
-    found = jobs.standing_query(feed(spark, sf, "match", 3), kind & value & ~props)
+    query = Q.Bool(filter=(Q.Term("event_type", ["error", "click"]), Q.Range("value", gte=5.0, lt=50.0)), must_not=(Q.Prefix("props", '{"k": 1'),))
+    found = jobs.standing_query(feed(spark, sf, "match", 3), query)
     return _to_table(spark, found.select("event_id", "event_type", "value"), "matches")
+
+
+@register("stream_upsert_index", f"SELECT _id, event_id, event_type FROM ({_LAST}) l WHERE event_type = 'click'")
+def stream_upsert_index(spark, sf):
+    """A stream of documents into a collection, which is then searched."""
+    start = table(spark, sf, "events").limit(0).select(F.lit("").alias("_id"), "event_id", F.col("ts").cast("timestamp").alias("ts"), "event_type")
+    mapping = Mapping((Field("event_id", "long"), Field("ts", "date"), Field("event_type", "text")))
+    path = new_table_path(spark, "fed-index")
+    Collection.create(spark, path, start, mapping, buckets=4)
+    stream = feed(spark, sf, "index-feed", 2).select(F.col("user_id").cast("string").alias("_id"), "event_id", "ts", "event_type")
+    jobs.upsert_index_stream(stream, path, new_table_path(spark, "fed-log"), ["ts", "event_id"]).awaitTermination()
+    found = R.matched(Collection.open(spark, path), R.Search(must=(Q.Match("event_type", "click"),)))
+    return found.select("_id", "event_id", "event_type")

@@ -9,6 +9,9 @@ from textloom.catalog.common import register, sql_tokens, table
 from textloom.catalog.indexes import index_for
 from textloom.operators import completion as G
 from textloom.plans import compile as plan, queries as Q
+from textloom.plans.mapping import Field, Mapping, SuggestContext
+from textloom.session import new_table_path
+from textloom.sources.collection import Collection
 
 
 def suggestions(spark, sf):
@@ -42,6 +45,26 @@ def completion_context(spark, sf):
     return G.completions_in_context(base, queries, size=5).withColumn("rank", F.col("rank").cast("bigint"))
 
 
+def _suggested(spark, sf):
+    """Parts with a completion field: name and brand as inputs, the brand as a context."""
+    docs = table(spark, sf, "part").select(
+        F.col("p_partkey").cast("string").alias("_id"),
+        F.struct(F.array("p_name", "p_brand").alias("input"), F.col("p_size").alias("weight"), F.create_map(F.lit("brand"), F.array("p_brand")).alias("contexts")).alias("typed"),
+    )
+    mapping = Mapping((Field("typed", "completion", contexts=(SuggestContext("brand"),)),))
+    return Collection.create(spark, new_table_path(spark, "suggested"), docs, mapping, buckets=4).docs
+
+
+@register("completion_field", "WITH i AS (SELECT CAST(p_partkey AS VARCHAR) AS _id, unnest([p_name, p_brand]) AS input, p_size AS weight, p_brand FROM part), a AS (SELECT DISTINCT 'all' AS suggester_id, lower(substr(p_name, 1, 2)) AS prefix, NULL AS brand FROM part UNION ALL SELECT 'Brand#14', 'b', 'Brand#14') " + _BEST.format(inner="SELECT coalesce(brand, prefix) AS suggester_id, _id, input, weight FROM a JOIN i ON starts_with(lower(input), prefix) AND (brand IS NULL OR brand = p_brand)", k=4))
+def completion_field(spark, sf):
+    """Suggestions from a collection's own completion field, without and with a context."""
+    docs = _suggested(spark, sf)
+    prefixes = table(spark, sf, "part").select(F.lower(F.substring("p_name", 1, 2)).alias("prefix")).distinct().withColumn("suggester_id", F.col("prefix"))
+    one = spark.sql("SELECT 'Brand#14' AS suggester_id, 'B' AS prefix, map('brand', array('Brand#14')) AS contexts")
+    found = G.suggest(docs, "typed", prefixes, 4).unionByName(G.suggest(docs, "typed", one, 4))
+    return found.withColumn("rank", F.col("rank").cast("bigint"))
+
+
 _LONG = "repeat(p_name || ' ', 1 + CAST(floor(100 / length(p_name)) AS INTEGER))"
 _LONG_ASKED = f"SELECT DISTINCT p_name || '/' || n AS suggester_id, lower(substr({_LONG}, 1, n)) AS prefix FROM part, (VALUES (60), (80), (100)) v(n)"
 

@@ -7,6 +7,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from textloom.functions.arrays import let
 from textloom.operators.charfilters import CHAR_FILTERS
 from textloom.operators.tokenfilters import SINGLE_VALUE_FILTERS, TOKEN_FILTERS, Fingerprint, AsciiFolding, Lowercase, Stop, Tokens
 from textloom.operators.tokenizers import TOKENIZERS, Keyword, LowercaseLetter, Pattern, Standard, Whitespace
@@ -70,14 +71,20 @@ class Analyzer:
     def values(self, texts: Column) -> Column:
         """Tokens of a multi-valued field: positions go on after a gap per value."""
 
-        def join(acc: Column, text: Column) -> Column:
-            shift = F.when(F.size(acc) > 0, F.element_at(acc, -1)["position"] + 1 + self.position_increment_gap).otherwise(F.lit(0))
-            ts = self.tokens(text)
-            moved = F.transform(ts.array(), lambda t: ts.struct(t, position=(t["position"] + shift).cast("int")))
-            return F.concat(acc, moved)
+        fields = self.tokens(F.lit("x"))
 
-        empty = F.slice(self.array(F.lit("x")), F.lit(1), F.lit(0))
-        return F.aggregate(texts, empty, join)
+        def shifted(arrays: Column) -> Column:
+            # what each value moves those after it by; one without tokens moves nothing
+            steps = F.transform(arrays, lambda a: F.when(F.size(a) > 0, F.element_at(a, -1)["position"] + 1 + self.position_increment_gap).otherwise(F.lit(0)))
+            sums = F.aggregate(steps, F.array(F.lit(0)), lambda acc, n: F.concat(acc, F.array((F.element_at(acc, -1) + n).cast("int"))))
+
+            def moved(shifts: Column) -> Column:
+                each = lambda a, i: F.transform(a, lambda t: fields.struct(t, position=(t["position"] + F.get(shifts, i)).cast("int")))
+                return F.flatten(F.transform(arrays, each))
+
+            return let(sums, moved)
+
+        return let(F.transform(texts, lambda text: self.tokens(text).array()), shifted)
 
 
 @dataclass(frozen=True)

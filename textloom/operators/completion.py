@@ -50,6 +50,21 @@ def completions_in_context(suggestions: DataFrame, queries: DataFrame, size: int
     return _best(merged, ["suggester_id"], size).select("suggester_id", "rank", "_id", "input", "weight")
 
 
+def suggest(docs: DataFrame, field: str, queries: DataFrame, size: int = 5) -> DataFrame:
+    """Completions from a ``completion`` column: a struct of inputs, a weight and contexts by name.
+
+    ``queries``: (suggester_id, prefix) and, to limit the answers, ``contexts``: a map of the same
+    form, of which one value has to fit.
+    """
+    named = lambda m: F.flatten(F.transform(F.map_entries(m), lambda e: F.transform(e["value"], lambda v: F.concat_ws("=", e["key"], v))))
+    rows = docs.where(F.col(field).isNotNull()).select("_id", F.lit(field).alias("field"), F.explode(f"{field}.input").alias("input"), F.col(f"{field}.weight").alias("weight"), F.col(f"{field}.contexts").alias("contexts"))
+    asked = queries.withColumn("field", F.lit(field))
+    if "contexts" not in queries.columns:
+        return completions(rows.drop("contexts"), asked, size)
+    rows = rows.where(F.col("contexts").isNotNull()).withColumn("context", named(F.col("contexts")))
+    return completions_in_context(rows, asked.withColumn("context", named(F.col("contexts"))), size)
+
+
 def geo_cell(lat: Column, lon: Column, precision: float) -> Column:
     """Name of the grid cell of a point; ``precision`` is the cell size in degrees."""
     cell = lambda x: F.floor(x / F.lit(float(precision))).cast("string")

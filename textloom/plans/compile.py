@@ -142,6 +142,22 @@ def column_test(q: Q.Query, col: Column, dtype: T.DataType | None, null_value: o
     return reduce(lambda a, b: a & b, tests)
 
 
+def row_test(q: Q.Query, schema: T.StructType) -> Column:
+    """A query on plain columns as a predicate that is never NULL, for frames without an index."""
+    if isinstance(q, Q.Bool):
+        tests = [row_test(x, schema) for x in q.must + q.filter] + [~row_test(x, schema) for x in q.must_not]
+        if q.should and not (q.must or q.filter):
+            tests.append(_any([row_test(x, schema) for x in q.should]))
+        return _all(tests) if tests else F.lit(True)
+    if isinstance(q, Q.MatchAll):
+        return F.lit(True)
+    if isinstance(q, Q.Exists):
+        return F.col(q.field).isNotNull()
+    if isinstance(q, (Q.Term, Q.Range, Q.Prefix)):
+        return F.coalesce(column_test(q, F.col(q.field), schema[q.field].dataType if q.field in schema.names else None), F.lit(False))
+    raise ValueError(f"{type(q).__name__} needs an index")
+
+
 def _inside(index: Collection, q: Q.Query, element: Column, path: str) -> Column:
     """A query on the fields of one nested element. Text is matched by its words, without a score."""
     inner = lambda x: _inside(index, x, element, path)

@@ -279,6 +279,18 @@ class Collection:
         )
 
 
+def bulk_put(targets: dict[str, Collection], batch: DataFrame, order: list[str] = ()) -> dict[str, Collection]:
+    """Put each row of a batch into the collection that its ``_index`` names, and give back the new ones.
+
+    A row for a collection that is not among the targets, or without a name, is an error at run time.
+    """
+    names = sorted(targets)
+    known = F.coalesce(F.col("_index").isin(names), F.lit(False))
+    checked = batch.withColumn("_index", F.when(known, F.col("_index")).otherwise(F.raise_error(F.concat(F.lit("no collection for "), F.to_json(F.struct("_index", "_id")))).cast("string")))
+    rows = materialize(checked, "bulk")
+    return {name: targets[name].put(rows.where(F.col("_index") == name).drop("_index"), order) for name in names}
+
+
 def _put(writer: DataFrameWriter, path: str, table: str, version: int) -> None:
     # a version is written once: a second writer of the same version fails here
     writer.mode("errorifexists").parquet(f"{path}/{table}/v={version}")

@@ -6,7 +6,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from textloom.operators.analyzers import Analyzer
-from textloom.sources.collection import last_per_id
+from textloom.plans.compile import row_test
+from textloom.plans.queries import Query
+from textloom.sources.collection import Collection, last_per_id
 
 
 def upsert_stream(stream: DataFrame, path: str, checkpoint: str, order: list[str], keys: tuple[str, ...] = ("_id",)) -> StreamingQuery:
@@ -23,6 +25,18 @@ def upsert_stream(stream: DataFrame, path: str, checkpoint: str, order: list[str
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def upsert_index_stream(stream: DataFrame, path: str, checkpoint: str, order: list[str]) -> StreamingQuery:
+    """Feed a bulk stream into a collection; each micro-batch becomes one version of it.
+
+    A replayed batch puts the same documents again, which changes nothing.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        Collection.open(batch.sparkSession, path).put(batch, order)
+
+    return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
 def current_state(changes: DataFrame, order: list[str], keys: tuple[str, ...] = ("_id",)) -> DataFrame:
     """The newest row of each key over all batches; combined before the shuffle."""
     return last_per_id(changes.drop("batch"), order, keys)
@@ -43,6 +57,6 @@ def token_counts(stream: DataFrame, text: str, analyzer: Analyzer, time: str, wi
     )
 
 
-def standing_query(stream: DataFrame, predicate: Column) -> DataFrame:
-    """Rows that satisfy a filter; stateless, so it holds for any volume."""
-    return stream.where(predicate)
+def standing_query(stream: DataFrame, query: Query | Column) -> DataFrame:
+    """Rows that a query on their columns matches; stateless, so it holds for any volume."""
+    return stream.where(query if isinstance(query, Column) else row_test(query, stream.schema))
