@@ -168,3 +168,47 @@ def test_fuzzy_join_equals_brute_force(spark, edits, prefix):
     got = sorted((r.q, r.token, r.d) for r in fuzzy.fuzzy_join(q, v, edits, prefix).collect())
     want = sorted((a, b, _distance(a, b)) for a in asked for b in vocab if _distance(a, b) <= edits and (not prefix or a[:prefix] == b[:prefix]))
     assert got == want
+
+
+@pytest.mark.parametrize(
+    "name,text,want",
+    [
+        ("asciifolding", "Ünïcödé Straße Ærø œuf ﬁ Łódź", "Unicode Strasse AEro oeuf fi Lodz"),
+        ("decimal_digit", "٣४๕７", "3457"),
+        ("cjk_width", "ＡＢＣ１", "ABC1"),
+        ("german_normalization", "größe mueller", "grosse muller"),
+        ("scandinavian_folding", "åäæöøÅ", "aaaooA"),
+        ("serbian_normalization", "ђурађ", "djuradj"),
+        ("arabic_normalization", "أحمد", "احمد"),
+        ("persian_normalization", "کی", "كي"),
+        ("lowercase", "ÀÉÎ", "àéî"),
+        ("uppercase", "àéî", "ÀÉÎ"),
+    ],
+)
+def test_character_tables_give_known_outputs(spark, name, text, want):
+    normalizer = A.AnalysisSettings().get_normalizer(name)
+    assert spark.range(1).select(normalizer.apply(F.lit(text)).alias("v")).first()["v"] == want
+
+
+@pytest.mark.parametrize(
+    "tokenizer,text,want",
+    [
+        (TK.Standard(), "It's the year 2024, naïve!", ["It's", "the", "year", "2024", "naïve"]),
+        (TK.Whitespace(), " a,b\tc\n", ["a,b", "c"]),
+        (TK.LowercaseLetter(), "Ab1Cd-e", ["ab", "cd", "e"]),
+    ],
+)
+def test_tokenizers_give_known_outputs(spark, tokenizer, text, want):
+    assert words(spark, A.Analyzer(tokenizer), text) == want
+
+
+def test_entities_give_known_outputs(spark):
+    text = "<p>a &lt;b&gt; &amp; &euro;5&nbsp;&hellip;</p>"
+    got = spark.range(1).select(C.HtmlStrip().apply(F.lit(text)).alias("v")).first()["v"]
+    assert " ".join(got.split()) == "a <b> & €5 …"
+
+
+def test_values_keep_their_gap(spark):
+    df = spark.createDataFrame([(["a b", "", "c", "d"],)], "v array<string>")
+    rows = df.select(std().values(F.col("v")).alias("t")).first()["t"]
+    assert [(t["token"], t["position"]) for t in rows] == [("a", 0), ("b", 1), ("c", 102), ("d", 203)]

@@ -12,9 +12,9 @@ from pyspark.sql import Column, functions as F
 
 
 def _latin_folding() -> dict[str, str]:
-    """Latin letters with marks to their ASCII base letter, by decomposition."""
+    """Latin letters with marks, ligatures and full-width forms to their ASCII letters, by decomposition."""
     table = {}
-    for cp in list(range(0xC0, 0x250)) + list(range(0x1E00, 0x1F00)):
+    for cp in [*range(0xC0, 0x250), *range(0x1E00, 0x1F00), *range(0xFB00, 0xFB07), *range(0xFF21, 0xFF3B), *range(0xFF41, 0xFF5B)]:
         base = "".join(c for c in unicodedata.normalize("NFKD", chr(cp)) if not unicodedata.combining(c))
         if base and base.isascii() and base.isalpha():
             table[chr(cp)] = base
