@@ -108,6 +108,17 @@ def test_near_copies_against_brute_force(spark, monkeypatch, block):
     assert got == brute_classes(rows)
 
 
+def test_blocks_without_a_class_add_no_links(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "BLOCK_GRAMS", 40)  # more blocks than classes, so that many are empty
+    rnd = random.Random(3)
+    rows = []
+    for k in range(12):
+        base = [f"w{rnd.randrange(10**6)}" for _ in range(60)]
+        rows += [(2 * k, " ".join(base)), (2 * k + 1, " ".join([*base, "more"]))]
+    got = {r["doc_id"]: (r["class_id"], r["class_size"], r["n_links"]) for r in jaccard_classes(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert got == brute_classes(rows)
+
+
 def test_odd_documents(odd_docs, no_docs):
     got = sorted((str(r["doc_id"]), str(r["class_id"]), r["class_size"], r["n_links"]) for r in jaccard_classes(odd_docs).collect())
     want = [("1", "1", 2, 1), ("2", "1", 2, 1), ("3", "3", 1, 0), ("4", "4", 1, 0), ("5", "5", 1, 0), ("6", "6", 2, 1), ("6", "6", 2, 1), ("7", "7", 2, 1), ("8", "7", 2, 1),

@@ -211,12 +211,15 @@ def _roots(ids: np.ndarray, linked: np.ndarray) -> np.ndarray:
 
 
 def verify(members: DataFrame, similarity: float) -> DataFrame:
-    """``rep, root, links``: partial results of the blocks, from ``task, part, component, rep, copies, set``."""
+    """``rep, root, links``: partial results of the blocks, from ``task, apart, part, component, rep, copies, set``.
+
+    ``apart`` tells that a task is for two different blocks, either of which may have no class.
+    """
     exact = Fraction(str(similarity))
 
     def compare(table: pa.Table) -> pa.Table:
         reps, copies = (table.column(c).to_numpy() for c in ("rep", "copies"))
-        part, component = (table.column(c).to_numpy() for c in ("part", "component"))
+        apart, part, component = (table.column(c).to_numpy() for c in ("apart", "part", "component"))
         sets = [np.frombuffer(x, np.uint64) for x in table.column("set").to_pylist()]
         root, links = reps.copy(), np.zeros(len(reps), np.int64)
         order = np.lexsort((reps, part, component))
@@ -224,7 +227,9 @@ def verify(members: DataFrame, similarity: float) -> DataFrame:
         for rows in np.split(order, cuts):
             across = part[rows] == 1  # the second block of a pair of different ones
             a, b = rows[~across], rows[across]
-            if across.any():
+            if apart[rows[0]]:
+                if not len(a) or not len(b):
+                    continue
                 linked = _linked([sets[i] for i in a], [sets[i] for i in b], exact)
                 links[a] += linked @ copies[b]
                 links[b] += linked.T @ copies[a]
@@ -272,14 +277,14 @@ def jaccard_classes(
     dealt = grouped.join(sizes, F.col("component") == F.col("_of")).withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     alone = dealt.filter("blocks = 1").select(
-        F.concat(F.lit("bin "), F.pmod(F.xxhash64("component"), F.lit(bins))).alias("task"), F.lit(0).alias("part"), "component", "rep", "copies"
+        F.concat(F.lit("bin "), F.pmod(F.xxhash64("component"), F.lit(bins))).alias("task"), F.lit(0).alias("apart"), F.lit(0).alias("part"), "component", "rep", "copies"
     )
     paired = dealt.filter("blocks > 1").withColumn("other", other).select(
         F.concat_ws(" ", "component", F.least("block", "other"), F.greatest("block", "other")).alias("task"),
-        (F.col("block") > F.col("other")).cast("int").alias("part"), "component", "rep", "copies",
+        (F.col("block") != F.col("other")).cast("int").alias("apart"), (F.col("block") > F.col("other")).cast("int").alias("part"), "component", "rep", "copies",
     )
     sets = materialize(_sets_of(source, grouped.select("rep"), width), "gram-sets")
-    members = alone.unionByName(paired).join(sets, "rep").select("task", "part", "component", "rep", "copies", "set")
+    members = alone.unionByName(paired).join(sets, "rep").select("task", "apart", "part", "component", "rep", "copies", "set")
     checked = materialize(verify(members, similarity), "verified")
     final = components(checked.select(F.col("rep").alias("a"), F.col("root").alias("b")))
     links = checked.groupBy("rep").agg(F.sum("links").alias("links")).withColumnRenamed("rep", "_linked")
