@@ -1,7 +1,9 @@
+import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
 
+from tests.llm.conftest import SF_SMALL
 from textloom.llm import shards
 from textloom.llm.shards import communication_matrix, shard_sizes, shuffle_into_shards
 
@@ -26,6 +28,23 @@ def test_shards_of_odd_rows(odd_docs, no_docs):
     assert shuffle_into_shards(no_docs, 4).count() == 0
 
 
+def test_every_column_comes_back(odd_docs):
+    out = shuffle_into_shards(odd_docs, 4)
+    kept = [c for c in odd_docs.columns if c not in ("shard", "slot")]
+    assert Counter(map(tuple, out.select(kept).collect())) == Counter(map(tuple, odd_docs.select(kept).collect()))
+
+
+def test_the_query_shards_whole_documents(spark, monkeypatch):
+    given, whole = [], shards.shuffle_into_shards
+    monkeypatch.setattr(shards, "shuffle_into_shards", lambda df, *a, **b: given.append(df.columns) or whole(df, *a, **b))
+    rows = shards.op3_shards(spark, SF_SMALL).collect()
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    assert given == [docs.columns]
+    texts = {r["doc_id"]: (r["text"] or "").encode() for r in docs.collect()}
+    assert {r["doc_id"]: (r["size"], r["text_crc32"]) for r in rows} == {i: (len(t) + 8, zlib.crc32(t)) for i, t in texts.items()}
+    assert sorted((r["shard"], r["slot"]) for r in rows) == [(j, k) for j, n in enumerate(shard_sizes(len(texts), 24)) for k in range(n)]
+
+
 def test_every_place_is_as_likely(spark):
     rows = spark.range(40)
     firsts = Counter()

@@ -14,7 +14,7 @@ def number_rows(df: DataFrame, group: str, order: list[Column], name: str, rows:
     blocks by a hash of ``order``; a row's number is the size of the blocks before its own plus its
     place, by ``order``, within the block. So a task sorts one block of a group, and the table of
     block sizes is small. Rows that agree in all of ``order`` stand in any order; they should be
-    alike. ``df`` is read twice: pass a written table.
+    alike. ``df`` is read twice: pass a written table, in which ``group`` is never null.
     """
     blocks = max(1, math.isqrt(max(rows, 1)))
     dealt = df.withColumn("_block", F.pmod(F.xxhash64(*order, F.lit(11)), F.lit(blocks)))
@@ -24,5 +24,6 @@ def number_rows(df: DataFrame, group: str, order: list[Column], name: str, rows:
     place = F.row_number().over(Window.partitionBy(group, "_block").orderBy(*order)) - 1
     starts = starts.withColumnsRenamed({group: "_group", "_block": "_of"})
     ranked = dealt.withColumn("_place", place)
-    same = ranked[group].eqNullSafe(starts["_group"]) & (ranked["_block"] == starts["_of"])
+    # plain equality, so that the join finds the rows as the numbering has dealt them
+    same = (ranked[group] == starts["_group"]) & (ranked["_block"] == starts["_of"])
     return ranked.join(starts, same).withColumn(name, (F.col("_start") + F.col("_place")).cast("long")).drop("_start", "_place", "_block", "_group", "_of")

@@ -1,20 +1,18 @@
 """Sharding: a uniform shuffle with exact shard sizes.
 
-Rows lie in sources (hash blocks of about the square root of the row number). How many rows each
-source gives to each shard is drawn exactly as in a uniform permutation: row by row of the
-communication matrix, from the multivariate hypergeometric distribution over what is left of each
-shard. Each source puts its rows in random order and gives the first ones to the first shard, and so
-on; after the exchange each shard puts its rows in random order again. All randomness comes from
-hashes of the row and the seed, so a repeated task gives the same rows.
+Rows lie in sources (the partitions of the input). How many rows each source gives to each shard is
+drawn exactly as in a uniform permutation: row by row of the communication matrix, from the
+multivariate hypergeometric distribution over what is left of each shard. Each source is written in
+random order and gives its first rows to the first shard, and so on; whole rows are then exchanged
+once, and each shard puts its rows in random order again. All randomness comes from hashes of the
+row and the seed, and the written order stays, so a repeated task gives the same rows.
 """
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from textloom.llm.catalog import register, table
 from textloom.llm.numbering import number_rows
@@ -53,18 +51,21 @@ def shuffle_into_shards(df: DataFrame, shards: int, seed: int = 0) -> DataFrame:
 
     Every column takes part in the order, so equal rows are the only ties and may be exchanged. Nulls
     are values like others; an empty table gives no rows. Columns of the input named ``shard`` or
-    ``slot`` are replaced.
+    ``slot`` are replaced. The order depends on the seed and on the partitions of ``df``.
     """
     spark = df.sparkSession
     held = df.drop("shard", "slot")
     columns = [F.col(f"`{c}`") for c in held.columns]
-    source = materialize(held, "to-shard")
-    rows = source.count()
-    blocks = max(1, min(math.isqrt(max(rows, 1)), MATRIX // shards))
-    keyed = source.withColumn("_source", F.pmod(F.xxhash64(*columns, F.lit(seed)), F.lit(blocks)).cast("int"))
-    counts = np.zeros(blocks, np.int64)
-    for r in keyed.groupBy("_source").agg(F.count(F.lit(1)).alias("n")).collect():  # one row per block
+    first = [F.xxhash64(*columns, F.lit(seed), F.lit("first")), *columns]
+    laid = held.coalesce(max(1, MATRIX // shards)).sortWithinPartitions(*first)
+    # the number of the partition, and below it the place in the partition
+    numbered = laid.withColumn("_shard_row", F.monotonically_increasing_id()).withColumn("_shard_second", F.xxhash64(*columns, F.lit(seed), F.lit("second")))
+    source = materialize(numbered, "to-shard").withColumns({"_source": F.shiftright("_shard_row", 33).cast("int"), "_at": F.col("_shard_row").bitwiseAND((1 << 33) - 1)})
+    found = source.groupBy("_source").agg(F.count(F.lit(1)).alias("n")).collect()  # one row per partition
+    counts = np.zeros(max((r["_source"] + 1 for r in found), default=0), np.int64)
+    for r in found:
         counts[r["_source"]] = r["n"]
+    rows = int(counts.sum())
     matrix = communication_matrix(counts, shard_sizes(rows, shards), seed)
     bounds = spark.sparkContext.broadcast(np.cumsum(matrix, axis=1))
 
@@ -72,18 +73,15 @@ def shuffle_into_shards(df: DataFrame, shards: int, seed: int = 0) -> DataFrame:
     def shard_of(block: pd.Series, place: pd.Series) -> pd.Series:
         return pd.Series((bounds.value[block.to_numpy()] <= place.to_numpy()[:, None]).sum(1).astype(np.int32))
 
-    first = [F.xxhash64(*columns, F.lit(seed), F.lit("first")), *columns]
-    placed = keyed.withColumn("_at", F.row_number().over(Window.partitionBy("_source").orderBy(*first)) - 1)
-    dealt = materialize(placed.withColumn("shard", shard_of("_source", "_at")).drop("_source", "_at"), "sharded")
-    second = [F.xxhash64(*columns, F.lit(seed), F.lit("second")), *columns]
-    return number_rows(dealt, "shard", second, "slot", rows)
+    dealt = source.withColumn("shard", shard_of("_source", "_at")).drop("_source", "_at")
+    return number_rows(dealt, "shard", [F.col("_shard_second"), F.col("_shard_row")], "slot", rows).drop("_shard_row", "_shard_second")
 
 
 @register("op3_shards")
 def op3_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """The documents go into shards with their texts; size and checksum are those of the sharded rows."""
     data = F.coalesce(F.col("text"), F.lit("")).cast("binary")
-    slim = docs.select("doc_id", (F.octet_length(data) + 8).cast("long").alias("size"), F.crc32(data).alias("text_crc32"))
-    return shuffle_into_shards(slim, 24).select(
-        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    return shuffle_into_shards(table(spark, sf_dir, "documents"), 24).select(
+        "doc_id", (F.octet_length(data) + 8).cast("long").alias("size"), F.crc32(data).alias("text_crc32"),
+        F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"),
     )
