@@ -80,6 +80,20 @@ def test_cutting_stock_packs_all_ids(odd_docs, no_docs, spark):
     assert sequences * 1024 < tokens * 1.01
 
 
+def test_packed_sequences_hold_the_ids(odd_docs):
+    rows = pack_documents(odd_docs, 64).collect()
+    docs = odd_docs.collect()
+    known = [(d["doc_id"], x) for d, x in zip(docs, document_ids([d["text"] or "" for d in docs]), strict=True)]
+    sequences = defaultdict(list)
+    for r in rows:
+        ids = np.frombuffer(r["ids"], "<u4")
+        assert any(d == r["doc_id"] and np.array_equal(x[r["start"] : r["start"] + r["length"]], ids) for d, x in known)
+        assert len(ids) == r["length"] and zlib.crc32(r["ids"]) == r["ids_crc32"]
+        sequences[r["sequence_id"]].append((r["offset"], ids))
+    packed = [np.concatenate([ids for _, ids in sorted(parts, key=lambda p: p[0])]) for parts in sequences.values()]
+    assert max(map(len, packed)) <= 64 and sum(map(len, packed)) == sum(len(x) for _, x in known)
+
+
 def exploded(packed):
     for r in packed.collect():
         ids, positions = np.frombuffer(r["ids"], "<u4"), np.frombuffer(r["positions"], "<u4")

@@ -8,7 +8,6 @@ rounded patterns give every length a list of places. The n-th piece of a length
 
 from __future__ import annotations
 
-import zlib
 from typing import NamedTuple
 
 import numpy as np
@@ -131,27 +130,30 @@ def places(sizes: np.ndarray, plan: list[tuple[np.ndarray, int]]) -> Places:
 
 
 def pieces_of(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, start, length, ids_crc32, doc_tokens``: full pieces of each document and its rest."""
+    """``doc_id, start, length, ids, doc_tokens``: full pieces of each document and its rest.
+
+    ``ids`` holds little-endian unsigned 32-bit integers.
+    """
     source = id_and_text(docs, id_col, text_col)
 
     def cut(batches):
         for batch in slices(batches):
             texts = texts_of(batch.column(1))
             for lo, hi in chunks(texts):
-                owner, starts, sizes, checks, totals = [], [], [], [], []
+                owner, starts, sizes, held, totals = [], [], [], [], []
                 for i, ids in enumerate(document_ids(texts[lo:hi])):
-                    data = memoryview(ids.astype("<u4").tobytes())
+                    data = ids.astype("<u4").tobytes()
                     for start in range(0, len(ids), length):
                         owner.append(lo + i)
                         starts.append(start)
                         sizes.append(min(length, len(ids) - start))
-                        checks.append(zlib.crc32(data[4 * start : 4 * (start + length)]))
+                        held.append(data[4 * start : 4 * (start + length)])
                         totals.append(len(ids))
-                columns = [batch.column(0).take(pa.array(owner, pa.int64())), *(pa.array(x, pa.int64()) for x in (starts, sizes, checks, totals))]
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
+                columns = [batch.column(0).take(pa.array(owner, pa.int64())), *(pa.array(x, pa.int64()) for x in (starts, sizes)), pa.array(held, pa.binary()), pa.array(totals, pa.int64())]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "start", "length", "ids", "doc_tokens"])
 
     kind = source.schema["doc_id"].dataType.simpleString()
-    return source.mapInArrow(cut, f"doc_id {kind}, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint")
+    return source.mapInArrow(cut, f"doc_id {kind}, start bigint, length bigint, ids binary, doc_tokens bigint")
 
 
 def pack(pieces: DataFrame, length: int = LENGTH, grain: int = GRAIN) -> DataFrame:
@@ -165,7 +167,7 @@ def pack(pieces: DataFrame, length: int = LENGTH, grain: int = GRAIN) -> DataFra
     histogram = sorted((r["_step"], r["n"]) for r in stepped.groupBy("_step").agg(F.count(F.lit(1)).alias("n")).collect())
     sizes, demand = np.array([s for s, _ in histogram], np.int64), np.array([n for _, n in histogram], np.int64)
     where = places(sizes, cut_patterns(sizes, demand, length // grain))
-    order = [F.col(c) for c in ("doc_id", "start", "length", "ids_crc32", "doc_tokens") if c in pieces.columns]
+    order = [F.col(c) for c in ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "_piece") if c in pieces.columns]
     ranked = number_rows(stepped, "_step", order, "_rank", int(demand.sum()))
 
     def place(batches):
@@ -191,14 +193,19 @@ def pack(pieces: DataFrame, length: int = LENGTH, grain: int = GRAIN) -> DataFra
 
 
 def pack_documents(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """One row per piece: ``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset``.
+    """One row per piece: ``doc_id, start, length, ids, doc_tokens, sequence_id, offset, ids_crc32``.
 
-    A null or empty text is its end id alone. Repeated rows are packed each; other columns of
+    A sequence is the ``ids`` of its pieces by ``offset``; the checksum is that of the packed ids. A null or empty text is its end id alone. Repeated rows are packed each; other columns of
     ``docs`` do not matter.
     """
-    return pack(materialize(pieces_of(docs, length), "pieces"), length)
+    pieces = materialize(pieces_of(docs, length).withColumn("_piece", F.monotonically_increasing_id()), "pieces", "zstd")
+    # places are found without the ids, which are then exchanged once, by the number of their piece
+    placed = pack(pieces.drop("ids"), length).withColumnRenamed("_piece", "_placed")
+    whole = pieces.select("_piece", "ids").join(placed, F.col("_piece") == F.col("_placed"))
+    return whole.select("doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset", F.crc32("ids").alias("ids_crc32"))
 
 
 @register("op10_cutting_stock")
 def op10_cutting_stock(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack_documents(table(spark, sf_dir, "documents"))
+    packed = pack_documents(table(spark, sf_dir, "documents"))
+    return packed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")

@@ -53,10 +53,10 @@ def new_table_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/textloom/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, codec: str | None = None) -> DataFrame:
     """Write an intermediate result that several branches read to the shared folder, and read it back."""
     path = new_table_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
