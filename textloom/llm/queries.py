@@ -7,12 +7,15 @@ from textloom.llm import (  # noqa: F401
     bfd_pack,
     bpe_tables,
     cutting_stock,
+    divergence,
     exact_dedup,
+    fill_middle,
     multi_index,
     ngram_join,
     quality,
     secret_scan,
     shards,
+    simplex_means,
     toxicity,
 )
 from textloom.llm.catalog import ORACLES, QUERIES, register
