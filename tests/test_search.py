@@ -120,8 +120,10 @@ def test_unindexed_fields_raise(spark):
 
 
 def test_scan_reads_only_what_it_needs(docs):
-    text = R.run(docs, R.Search(must=(Q.Match("text", "thble"),), size=5, source=("lang",)))._jdf.queryExecution().executedPlan().toString()
-    assert "ReadSchema: struct<_id:string,lang:string>" in text
+    # the ranking runs first; the page's scan reads the columns asked for
+    page = R.run(docs, R.Search(must=(Q.Match("text", "thble"),), size=5, source=("lang",)))._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<_id:string,lang:string>" in page and "CartesianProduct" not in page and "NestedLoop" not in page
+    text = plan.hits(docs, Q.Match("text", "thble"))._jdf.queryExecution().executedPlan().toString()
     assert "term_bucket" in text and re.search(r"PartitionFilters: \[[^]]*isnotnull\(field", text)
     assert "CartesianProduct" not in text and "NestedLoop" not in text
     ranged = plan.hits(docs, Q.Range("n_chars", gte=500))._jdf.queryExecution().executedPlan().toString()

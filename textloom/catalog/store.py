@@ -9,7 +9,7 @@ from textloom.catalog.common import STD_LOW, q, register, sql_tokens, table
 from textloom.catalog.indexes import DOCUMENTS, ORDERS, index_for, orders
 from textloom.functions.dates import parse_date
 from textloom.operators.analyzers import AnalysisSettings
-from textloom.plans import queries as Q, search as R
+from textloom.plans import compile as plan, queries as Q, search as R
 from textloom.plans.mapping import Field, Mapping
 from textloom.session import new_table_path, spread
 from textloom.sources import collection as C, ingest as I
@@ -66,14 +66,30 @@ def bulk_upsert(spark, sf):
 @register("bulk_upsert_collection", f"WITH {S.field('f')}, b AS (SELECT CAST(item_id * 11 AS VARCHAR) AS _id, text FROM benchmark), u AS (SELECT _id, text FROM b UNION ALL SELECT CAST(doc_id AS VARCHAR), text FROM documents WHERE CAST(doc_id AS VARCHAR) NOT IN (SELECT _id FROM b)), {S.field('g', source='u', _id='_id')} {S.hits(S.match('g', ['thble', 'the']))}")
 def bulk_upsert_collection(spark, sf):
     """Search after a bulk write: only the batch is analyzed again."""
-    from textloom.plans import compile as plan, queries as Q
-
     docs = table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("_id"), "text")
     index = Collection.create(spark, new_table_path(spark, "upsert"), docs, Mapping((Field("text", "text"),)), buckets=4)
     batch = table(spark, sf, "benchmark").select((F.col("item_id") * 11).cast("string").alias("_id"), "text")
     return plan.hits(index.put(batch), Q.Match("text", "thble the")).select("_id", F.round("score", 6).alias("_score"))
 
 
+@register(
+    "interrupted_write",
+    f"WITH {S.field('f')}, b AS (SELECT CAST(item_id * 11 AS VARCHAR) AS _id, text FROM benchmark), u AS (SELECT _id, text FROM b UNION ALL SELECT CAST(doc_id AS VARCHAR), text FROM documents WHERE CAST(doc_id AS VARCHAR) NOT IN (SELECT _id FROM b)), "
+    f"v AS (SELECT * FROM u WHERE _id NOT IN (SELECT CAST(item_id * 13 AS VARCHAR) FROM benchmark)), {S.field('g', source='v', _id='_id')} {S.hits(S.match('g', ['thble', 'the']))}",
+)
+def interrupted_write(spark, sf):
+    """A put that dies before its last table, then a put and a delete: nothing of the dead one is seen."""
+    docs = table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("_id"), "text")
+    index = Collection.create(spark, new_table_path(spark, "interrupted"), docs, Mapping((Field("text", "text"),)), buckets=4)
+    items = table(spark, sf, "benchmark")
+    ghosts = items.select(F.concat(F.lit("ghost"), "item_id").alias("_id"), F.lit("thble the thble").alias("text"))
+    index.prepare_put(ghosts)  # all tables are written, and no version is published
+    batch = items.select((F.col("item_id") * 11).cast("string").alias("_id"), "text")
+    gone = items.select((F.col("item_id") * 13).cast("string").alias("_id"))
+    after = Collection.open(spark, index.path).put(batch).delete(gone)
+    return plan.hits(after, Q.Match("text", "thble the")).select("_id", F.round("score", 6).alias("_score"))
+
+
 @register("scripted_update", "SELECT CAST(o_orderkey AS VARCHAR) AS _id, CASE WHEN o_orderstatus = 'P' THEN round(o_totalprice * 1.25, 4) ELSE o_totalprice END AS o_totalprice, CASE WHEN o_orderstatus = 'P' THEN concat(o_orderpriority, '!') ELSE o_orderpriority END AS o_orderpriority FROM orders")
 def scripted_update(spark, sf):
     changed = _copy(spark, sf, index_for(spark, sf, "orders"), "update").update(

@@ -15,14 +15,17 @@ from textloom.streaming import jobs
 SCHEMA = "event_id bigint, ts timestamp, user_id bigint, event_type string, value double, props string"
 
 
-def feed(spark, sf, name: str, parts: int) -> DataFrame:
-    """The events as a stream that arrives in several deliveries, one after the other."""
+def feed(spark, sf, name: str, parts: int, late: bool = False) -> DataFrame:
+    """The events as a stream that arrives in several deliveries, one after the other.
+
+    With ``late`` each delivery holds events of all times, so most of a later one are old.
+    """
     path = new_table_path(spark, name)
     events = table(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
     step = -(-(events.agg(F.max("event_id")).first()[0] + 1) // parts)
     for i in range(parts):
-        part = events.where((F.col("event_id") >= i * step) & (F.col("event_id") < (i + 1) * step))
-        part.write.mode("append").parquet(path)
+        here = F.col("event_id") % parts == i if late else (F.col("event_id") >= i * step) & (F.col("event_id") < (i + 1) * step)
+        events.where(here).write.mode("append").parquet(path)
     return spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(path)
 
 
@@ -66,12 +69,35 @@ def stream_match(spark, sf):
 
 @register("stream_upsert_index", f"SELECT _id, event_id, event_type FROM ({_LAST}) l WHERE event_type = 'click'")
 def stream_upsert_index(spark, sf):
-    """A stream of documents into a collection, which is then searched."""
+    """A stream of documents into a collection, which is then searched. Each delivery brings late events."""
     start = table(spark, sf, "events").limit(0).select(F.lit("").alias("_id"), "event_id", F.col("ts").cast("timestamp").alias("ts"), "event_type")
     mapping = Mapping((Field("event_id", "long"), Field("ts", "date"), Field("event_type", "text")))
     path = new_table_path(spark, "fed-index")
     Collection.create(spark, path, start, mapping, buckets=4)
-    stream = feed(spark, sf, "index-feed", 2).select(F.col("user_id").cast("string").alias("_id"), "event_id", "ts", "event_type")
+    stream = feed(spark, sf, "index-feed", 3, late=True).select(F.col("user_id").cast("string").alias("_id"), "event_id", "ts", "event_type")
     jobs.upsert_index_stream(stream, path, new_table_path(spark, "fed-log"), ["ts", "event_id"]).awaitTermination()
     found = R.matched(Collection.open(spark, path), R.Search(must=(Q.Match("event_type", "click"),)))
     return found.select("_id", "event_id", "event_type")
+
+
+@register(
+    "stream_replay",
+    f"SELECT _id, event_id, event_type, n FROM ({_LAST}) l JOIN (SELECT event_type AS t, count(*) AS n FROM ({_LAST}) m GROUP BY 1) c ON l.event_type = c.t",
+)
+def stream_replay(spark, sf):
+    """The same feed twice, the second time without the memory of its first run: nothing is added."""
+    start = table(spark, sf, "events").limit(0).select(F.lit("").alias("_id"), "event_id", F.col("ts").cast("timestamp").alias("ts"), "event_type")
+    mapping = Mapping((Field("event_id", "long"), Field("ts", "date"), Field("event_type", "text")))
+    path = new_table_path(spark, "replayed")
+    Collection.create(spark, path, start, mapping, buckets=4)
+    stream = feed(spark, sf, "replay-feed", 2, late=True).select(F.col("user_id").cast("string").alias("_id"), "event_id", "ts", "event_type")
+    seen = []
+    for log in ("replay-a", "replay-b"):
+        jobs.upsert_index_stream(stream, path, new_table_path(spark, log), ["ts", "event_id"], source="events").awaitTermination()
+        seen.append(Collection.open(spark, path).version)
+    if seen[0] != seen[1]:
+        raise AssertionError(f"the second run wrote versions: {seen}")
+    index = Collection.open(spark, path)
+    # the frequency of a word tells whether any replaced document still counts
+    words = index.vocabulary("event_type").select(F.col("token"), F.col("df").alias("n"))
+    return index.docs.join(words, F.col("event_type") == F.col("token")).select("_id", "event_id", "event_type", "n")

@@ -96,10 +96,9 @@ def phrase_scores(index: Collection, field: str, text: str, analyzer: Analyzer |
         parts.append(index.postings(field, literal).select("token", "_id", "dl", "positions").join(wanted, "token"))
     if last_is_prefix:
         p, t = tokens[-1]
-        some = F.col("token").startswith(t)
         # the unfinished word counts as its most frequent completion
-        top = index.vocabulary(field).where(some).agg(F.max("df").alias("df")).scalar()
-        rows = index.postings(field).where(some).select("token", "_id", "dl", "positions")
+        top = index.vocabulary(field, prefix=t).agg(F.max("df").alias("df")).scalar()
+        rows = index.prefix_postings(field, t).select("token", "_id", "dl", "positions")
         parts.append(rows.select("*", top.alias("df"), F.lit(n - 1).alias("term_idx"), F.lit(float(p - first)).alias("weight")))
     rows = parts[0].select("_id", "dl", "df", "term_idx", "weight", "positions")
     for more in parts[1:]:
@@ -143,7 +142,7 @@ def multi_match_scores(index: Collection, fields: list[tuple[str, float]], text:
             part = term_scores(index, field, [(i, t, boost) for i, t in enumerate(head)], **fuzzy)
             rows.append(part.select("_id", F.lit(no).alias("field_no"), "term_idx", "score"))
         if kind == "bool_prefix" and tokens:
-            some = index.postings(field).where(F.col("token").startswith(tokens[-1])).select("_id").distinct()
+            some = index.prefix_postings(field, tokens[-1]).select("_id").distinct()
             rows.append(some.select("_id", F.lit(no).alias("field_no"), F.lit(len(tokens) - 1).alias("term_idx"), F.lit(boost).alias("score")))
     if not rows:
         return no_hits(index.spark)

@@ -209,7 +209,7 @@ def _text(index: Collection, q: Q.Query) -> DataFrame:
         rows = term_scores(index, q.field, [(i, str(v), 1.0) for i, v in enumerate(dict.fromkeys(values))])
         return rows.groupBy("_id").agg(F.sum("score").alias("score"))
     if isinstance(q, Q.Prefix):
-        return index.postings(q.field).where(F.col("token").startswith(q.text)).select("_id").distinct().withColumn("score", F.lit(1.0))
+        return index.prefix_postings(q.field, q.text).select("_id").distinct().withColumn("score", F.lit(1.0))
     raise ValueError(f"no such query: {q!r}")
 
 

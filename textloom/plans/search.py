@@ -7,11 +7,12 @@ from dataclasses import dataclass, field
 from fnmatch import fnmatch
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from textloom.plans import queries as Q
 from textloom.plans.compile import Filtered, compile_query
-from textloom.sources.collection import Collection
+from textloom.sources.collection import Collection, unused
 
 # Limits of one request.
 MAX_SIZE, MIN_SIZE, MAX_FROM, DEFAULT_SIZE = 2000, 1, 2000, 50
@@ -132,31 +133,47 @@ def _with_keys(index: Collection, request: Search) -> tuple[DataFrame, tuple[tup
 
 
 def run(index: Collection, request: Search) -> DataFrame:
-    """The page of hits: ``_id``, ``_score``, source columns, in order."""
+    """The page of hits: ``_id``, ``_score``, source columns, in order.
+
+    A page is ranked first, on keys alone; that job runs at once and gives at most ``MAX_SIZE`` ids and
+    scores. Their documents are then read by a scan that knows the ids. Without a page the hits are one
+    sorted frame.
+    """
     request.validate()
     page = request.page()
     by_score = not request.sort and request.sort_script is None
-    best_first = [F.col("_score").desc_nulls_last(), F.col("_id").asc()]
-
-    if by_score and not request.score_script and page is not None:
-        c = compile_query(index, request.query())
-        if not isinstance(c, Filtered):
-            # rank the keys alone, then fetch the page's documents: at most MAX_SIZE rows are broadcast
-            keys = c.rows.select("_id", F.round("score", SCORE_DIGITS).alias("_score"))
-            top = keys.orderBy(*best_first).offset(request.from_).limit(page)
-            cols = source_columns(index.docs, request.source)
-            return index.docs.select("_id", *cols).join(F.broadcast(top), "_id").select("_id", "_score", *cols).orderBy(*best_first).limit(page)
-
     cols = source_columns(index.docs, request.source)
-    df, sort = _with_keys(index, request)
-    score = F.col("_score") if by_score or request.track_scores else F.lit(None).cast("double").alias("_score")
-    keys = [*_order(sort), F.col("_id").asc()]
-    sorted_df = df.orderBy(*keys)
+    if by_score and not request.score_script:
+        c = compile_query(index, request.query())
+        rows = index.docs.where(c.predicate).select("_id", c.score.alias("score")) if isinstance(c, Filtered) else c.rows
+        df, sort = rows.select("_id", F.round("score", SCORE_DIGITS).alias("_score")), (("_score", "desc"),)
+    else:
+        df, sort = _with_keys(index, request)
+    order = [*_order(sort), F.col("_id").asc()]
+    if page is None:
+        if by_score and not request.score_script:
+            df, _ = _with_keys(index, request)
+        whole = df.orderBy(*order)
+        return (whole.offset(request.from_) if request.from_ else whole).select("_id", _shown(request, by_score), *cols)
+    best = df.orderBy(*order)
     if request.from_:
-        sorted_df = sorted_df.offset(request.from_)
-    if page is not None:
-        sorted_df = sorted_df.limit(page)
-    return sorted_df.select("_id", score, *cols)
+        best = best.offset(request.from_)
+    return _page(index, best.limit(page).select("_id", _shown(request, by_score)), cols)
+
+
+def _shown(request: Search, by_score: bool) -> Column:
+    return F.col("_score") if by_score or request.track_scores else F.lit(None).cast("double").alias("_score")
+
+
+def _page(index: Collection, ranked: DataFrame, cols: list[str]) -> DataFrame:
+    """The documents of a ranked page of keys, in its order."""
+    found = ranked.collect()  # at most MAX_SIZE rows
+    place, score, _id = (unused(n, index.docs) for n in ("_place", "_page_score", "_page_id"))
+    columns = {_id: pa.array([r["_id"] for r in found], pa.string()), score: pa.array([r["_score"] for r in found], pa.float64()), place: pa.array(range(len(found)), pa.int32())}
+    page = F.broadcast(index.spark.createDataFrame(pa.table(columns)))
+    docs = index.fetch([r["_id"] for r in found]).select("_id", *cols)
+    joined = docs.join(page, docs["_id"] == page[_id]).orderBy(place)
+    return joined.select("_id", F.col(score).alias("_score"), *cols)
 
 
 def total(index: Collection, request: Search) -> DataFrame:

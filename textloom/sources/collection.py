@@ -3,25 +3,28 @@
 ``docs``        typed documents, range-partitioned by the index sort, or else by id
 ``forward``     one row per (field, document): its length and its distinct terms
 ``postings``    one row per (field, term, document), partitioned by field and term bucket
-``vocabulary``  document and total frequency per (field, term), same partitions
+``vocabulary``  document and total frequency per (field, term), by field, sorted by term across files
 ``field_stats`` two totals per field
 ``gone``        ids that a change replaced or deleted
-``meta``        mapping, settings, options and the base version as JSON
-
-Every table is divided by version. A change writes what it adds, and the ids that no longer count in
-earlier versions; its vocabulary and totals are differences. A reader takes the versions from the base
-on without what later ones replaced, so a change costs what its batch costs. ``compact`` writes a new
-base. ``meta`` is written last and makes a version visible; a version is never overwritten, so of two
-writers of the same version one fails.
+``marks``       the order of the last ordered write of an id
+``meta``        one JSON file per version: mapping, settings, options and the folders of each table
+
+A change writes what it adds, and the ids that no longer count in earlier versions; its vocabulary and
+totals are differences. It writes into folders of its own, which nobody reads until the version that
+lists them is published as one file (``versions``). So a job that dies leaves readers and later writers
+as they were, and of two writers of one version one fails. A reader merges the folders that its version
+lists; ``compact`` writes a new base. A change of the mapping writes the tables of changed fields only:
+``since`` tells from which version on the rows of such a field count.
 """
 
 from __future__ import annotations
 
 import json
+import uuid
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from textloom.operators import postings as P
 from textloom.operators.analyzers import AnalysisSettings, Analyzer
@@ -29,16 +32,19 @@ from textloom.operators.similarity import FieldStats
 from textloom.operators.tokenfilters import Shingle
 from textloom.plans.mapping import TEXT_TYPES, Field, Mapping, evolve
 from textloom.session import materialize, spread
+from textloom.sources import versions
 from textloom.sources.ingest import searchable, typed
 
 
 SCHEMAS = {
     "forward": f"field string, _id string, dl bigint, terms {P.TERMS}",
     "postings": "token string, _id string, tf bigint, dl bigint, positions array<int>, field string, term_bucket int",
-    "vocabulary": "token string, df bigint, ttf bigint, field string, term_bucket int",
+    "vocabulary": "token string, df bigint, ttf bigint, term_bucket int, field string",
     "field_stats": "field string, n_docs bigint, n_tokens bigint",
     "gone": "_id string",
 }
+#: Terms of a prefix that are named one by one; longer lists are read by their buckets and the prefix.
+MAX_TERMS = 1000
 
 
 @dataclass(frozen=True)
@@ -108,30 +114,84 @@ def _type_at(schema: T.StructType, path: str) -> T.DataType:
     return found
 
 
+class Draft:
+    """The tables of a version that is not published: folders that no reader knows."""
+
+    def __init__(self, spark: SparkSession, path: str, version: int):
+        self.spark, self.path, self.version, self.name = spark, path.rstrip("/"), version, f"w{uuid.uuid4().hex}"
+        self.tables: list[str] = []
+
+    def write(self, rows: DataFrame, table: str, *partitions: str, ids: bool = False) -> DataFrame:
+        """Write a table and read it back; ``ids`` adds a bloom filter on ``_id``."""
+        where = f"{self.path}/{table}/v={self.version}/w={self.name}"
+        writer = rows.write.mode("errorifexists")
+        if ids:
+            # sized for the ids of one row group
+            writer = writer.option("parquet.bloom.filter.enabled#_id", "true").option("parquet.bloom.filter.expected.ndv#_id", "100000")
+        (writer.partitionBy(*partitions) if partitions else writer).parquet(where)
+        self.tables.append(table)
+        return self.spark.read.schema(rows.schema).parquet(where)
+
+    def docs(self, docs: DataFrame, sort: list) -> DataFrame:
+        return self.write(sorted_docs(docs, sort), "docs", ids=True)
+
+    def forward(self, rows: DataFrame) -> DataFrame:
+        return self.write(rows, "forward", ids=True)
+
+    def postings(self, rows: DataFrame) -> None:
+        # rebalance: adaptive execution splits the bucket of a very common term and merges small ones
+        dealt = rows.hint("rebalance", "field", "term_bucket").sortWithinPartitions("field", "term_bucket", "token")
+        self.write(dealt, "postings", "field", "term_bucket")
+
+    def vocabulary(self, rows: DataFrame) -> None:
+        """Sorted by term over all files of a field, so that a term or a prefix is in few row groups."""
+        rows = rows.select("token", "df", "ttf", "term_bucket", "field")
+        self.write(rows.repartitionByRange("field", "token").sortWithinPartitions("field", "token"), "vocabulary", "field")
+
+    def folders(self) -> dict[str, list]:
+        return {t: [[self.version, self.name]] for t in self.tables}
+
+
+@dataclass
+class Pending:
+    """A version whose tables are written and which nobody sees before ``publish``."""
+
+    spark: SparkSession
+    path: str
+    version: int
+    meta: dict
+
+    def publish(self) -> Collection:
+        versions.publish(self.spark, self.path, self.version, self.meta)
+        return Collection(self.spark, self.path, self.meta, self.version)
+
+
 class Collection:
     def __init__(self, spark: SparkSession, path: str, meta: dict, version: int):
-        self.spark, self.path, self.version = spark, path, version
+        self.spark, self.path, self.meta, self.version = spark, path.rstrip("/"), meta, version
         self.mapping = Mapping.from_json(meta["mapping"])
         self.settings = AnalysisSettings.from_json(meta["settings"])
         self.buckets: int = meta["buckets"]
         self.sort: list[tuple[str, str]] = [tuple(s) for s in meta["sort"]]
         self.base: int = meta["base"]
+        #: Fields that were analyzed again, and the version from which on their rows count.
+        self.since: dict[str, int] = meta["since"]
         self.text = text_fields(self.mapping, self.settings)
+        self.schema_on_read: T.StructType = T.StructType.fromJson(json.loads(meta["schema"]))
         # a version never changes, so its files are listed once
         self._read: dict[str, DataFrame] = {}
         # one row per field of the mapping: a bounded read
-        totals = self._parts("field_stats").groupBy("field").agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens"))
+        totals = self._current(self._parts("field_stats")).groupBy("field").agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens"))
         self.stats = {r["field"]: FieldStats(r["n_docs"], r["n_tokens"]) for r in totals.collect() if r["n_docs"]}
-        self.schema_on_read: T.StructType = T.StructType.fromJson(json.loads(meta["schema"]))
 
     # --- opening and creating
 
     @staticmethod
     def open(spark: SparkSession, path: str) -> Collection:
-        newest = (
-            spark.read.schema("value string, v int").text(f"{path}/meta").orderBy(F.desc("v")).limit(1).collect()
-        )[0]
-        return Collection(spark, path, json.loads(newest["value"]), newest["v"])
+        version = versions.newest(spark, path)
+        if version is None:
+            raise ValueError(f"no collection at {path}")
+        return Collection(spark, path, versions.read(spark, path, version), version)
 
     @staticmethod
     def create(
@@ -142,8 +202,17 @@ class Collection:
         settings = settings or AnalysisSettings()
         if not path.strip("/"):
             raise ValueError(f"path={path!r} names no folder for the collection")
+        if exists(spark, path):
+            raise versions.VersionExists(f"a collection exists at {path}")
         mapping.validate(settings)
-        return _write(spark, path, 1, docs, None, mapping, settings, list(sort), buckets)
+        draft = Draft(spark, path, 1)
+        stored = draft.docs(docs, list(sort))
+        _index(draft, draft.forward(forward_table(spread(stored), text_fields(mapping, settings))), buckets)
+        meta = {
+            "mapping": mapping.to_json(), "settings": settings.to_json(), "buckets": buckets, "sort": list(sort), "base": 1, "since": {}, "order": None, "batches": {},
+            "schema": docs.schema.json(), "parts": draft.folders(),
+        }
+        return Pending(spark, path, 1, meta).publish()
 
     @staticmethod
     def create_or_evolve(
@@ -158,17 +227,33 @@ class Collection:
         found = Collection.open(spark, path)
         return found.put_mapping(mapping, settings)
 
+    def _schema(self, table: str) -> T.StructType:
+        if table == "docs":
+            return self.schema_on_read
+        if table == "marks":
+            return T.StructType([T.StructField("_id", T.StringType()), T.StructField("mark", self._order())])
+        return T.StructType.fromDDL(SCHEMAS[table])
+
     def _parts(self, table: str) -> DataFrame:
-        """All rows of a table from the base version to this one, with their version ``v``."""
+        """All rows of a table in the folders of this version, with the version ``v`` that wrote them."""
         if table not in self._read:
-            schema = self.schema_on_read if table == "docs" else T.StructType.fromDDL(SCHEMAS[table])
-            rows = self.spark.read.schema(T.StructType([*schema.fields, T.StructField("v", T.IntegerType())])).parquet(f"{self.path}/{table}")
-            self._read[table] = rows.where(F.col("v").between(self.base, self.version))
+            schema = T.StructType([*self._schema(table).fields, T.StructField("v", T.IntegerType()), T.StructField("w", T.StringType())])
+            folders = [f"{self.path}/{table}/v={v}/w={w}" for v, w in self.meta["parts"].get(table, [])]
+            if folders:
+                rows = self.spark.read.schema(schema).option("basePath", f"{self.path}/{table}").parquet(*folders)
+            else:
+                rows = self.spark.createDataFrame([], schema)
+            self._read[table] = rows.drop("w")
         return self._read[table]
 
+    def _current(self, rows: DataFrame) -> DataFrame:
+        """Rows by field without those from before their field was analyzed again."""
+        old = [(F.col("field") == f) & (F.col("v") < v) for f, v in self.since.items()]
+        return rows.where(~reduce(lambda a, b: a | b, old)) if old else rows
+
     def _live(self, rows: DataFrame) -> DataFrame:
         """Rows of documents that no later version replaced or deleted."""
-        if self.version == self.base:
+        if not self.meta["parts"].get("gone"):
             return rows.drop("v")
         gone = self._parts("gone").groupBy(F.col("_id").alias("_gone")).agg(F.max("v").alias("_at"))
         return rows.join(gone, (F.col("_id") == F.col("_gone")) & (F.col("v") < F.col("_at")), "left_anti").drop("v")
@@ -181,24 +266,42 @@ class Collection:
 
     @property
     def forward(self) -> DataFrame:
-        return self._live(self._parts("forward"))
+        return self._live(self._current(self._parts("forward")))
 
-    def _by_term(self, table: str, field: str, tokens: list[str] | None) -> DataFrame:
-        df = self._parts(table).where(F.col("field") == field)
-        if tokens is not None:
-            buckets = sorted({P.bucket_of(t, self.buckets) for t in tokens})
-            df = df.where(F.col("term_bucket").isin(buckets) & F.col("token").isin(sorted(set(tokens))))
-        return df
+    def _of_field(self, table: str, field: str) -> DataFrame:
+        rows = self._parts(table).where(F.col("field") == field)
+        return rows.where(F.col("v") >= self.since[field]) if field in self.since else rows
 
     def postings(self, field: str, tokens: list[str] | None = None) -> DataFrame:
         """Postings of a field; literal tokens prune the scan to their buckets."""
-        return self._live(self._by_term("postings", field, tokens))
+        rows = self._of_field("postings", field)
+        if tokens is not None:
+            buckets = sorted({P.bucket_of(t, self.buckets) for t in tokens})
+            rows = rows.where(F.col("term_bucket").isin(buckets) & one_of("token", tokens))
+        return self._live(rows)
 
-    def vocabulary(self, field: str, tokens: list[str] | None = None) -> DataFrame:
-        """Terms of a field with their frequencies."""
-        rows = self._by_term("vocabulary", field, tokens)
-        if self.version == self.base:
-            return rows.drop("v")
+    def prefix_postings(self, field: str, prefix: str) -> DataFrame:
+        """Postings of all terms that begin with ``prefix``.
+
+        The terms are looked up in the sorted vocabulary first, and name the postings to read. A prefix
+        of more than ``MAX_TERMS`` terms reads the buckets of its terms, whose files are sorted by term.
+        """
+        terms = self.vocabulary(field, prefix=prefix)
+        few = [r["token"] for r in terms.select("token").limit(MAX_TERMS + 1).collect()]
+        if len(few) <= MAX_TERMS:
+            return self.postings(field, few)
+        buckets = sorted(r["term_bucket"] for r in terms.select("term_bucket").distinct().collect())  # a fixed number of buckets
+        return self._live(self._of_field("postings", field).where(F.col("term_bucket").isin(buckets) & F.col("token").startswith(prefix)))
+
+    def vocabulary(self, field: str, tokens: list[str] | None = None, prefix: str | None = None) -> DataFrame:
+        """Terms of a field with their frequencies; tokens and a prefix are pushed into the scan."""
+        rows = self._of_field("vocabulary", field)
+        if tokens is not None:
+            rows = rows.where(one_of("token", tokens))
+        if prefix is not None:
+            rows = rows.where(F.col("token").startswith(prefix))
+        if sum(v >= self.since.get(field, 0) for v, _ in self.meta["parts"]["vocabulary"]) == 1:
+            return rows.select("token", "df", "ttf", "field", "term_bucket")
         # later versions hold differences
         total = rows.groupBy("token", "field", "term_bucket").agg(F.sum("df").alias("df"), F.sum("ttf").alias("ttf"))
         return total.where("df > 0").select("token", "df", "ttf", "field", "term_bucket")
@@ -209,130 +312,189 @@ class Collection:
     def get_many(self, ids: DataFrame) -> DataFrame:
         return self.docs.join(ids.select("_id"), "_id", "left_semi")
 
+    def fetch(self, ids: list[str]) -> DataFrame:
+        """The documents of a page of ids; the ids reach the scan, which skips row groups without them."""
+        return self.docs.where(one_of("_id", ids))
+
     def describe(self) -> DataFrame:
-        return self.mapping.describe(self.spark, self.path.rstrip("/").rsplit("/", 1)[-1])
+        return self.mapping.describe(self.spark, self.path.rsplit("/", 1)[-1])
 
     # --- writing: every change is a new version
 
-    def put(self, batch: DataFrame, order: list[str] = ()) -> Collection:
+    def put(self, batch: DataFrame, order: list[str] = (), source: str | None = None, number: int | None = None) -> Collection:
         """Replace or add documents by ``_id``; the last of a batch in ``order`` wins.
 
-        Without an order the batch may hold an id once only, and an id may never be missing. Only the
-        batch is analyzed and written; of the replaced documents only their terms are looked up.
+        Without an order the batch may hold an id once only, and an id may never be missing. With an
+        order a row that is not after the last ordered write of its id is left out, whenever that was; a
+        write without an order always counts, and forgets the order of its ids. ``source`` and
+        ``number`` name a batch of a feed: one that was already put is not put again. Only the batch is
+        analyzed and written; of the replaced documents only their terms are looked up.
         """
+        pending = self.prepare_put(batch, order, source, number)
+        return pending.publish() if pending else self
+
+    def prepare_put(self, batch: DataFrame, order: list[str] = (), source: str | None = None, number: int | None = None) -> Pending | None:
+        """All of a put but its publication; None where nothing changes."""
+        batches = self.meta["batches"]
+        if source is not None:
+            if number <= batches.get(source, -1):
+                return None
+            batches = {**batches, source: number}
         # documents and their terms must come from the same row, so the choice is written down first
         latest = materialize(required(last_per_id(batch, list(order))), "batch")
-        return self._change(align(latest, self.mapping), latest.select("_id"))
-
-    def delete(self, ids: DataFrame) -> Collection:
-        return self._change(None, materialize(ids.select("_id").distinct(), "deleted"))
-
-    def _change(self, added: DataFrame | None, gone: DataFrame) -> Collection:
+        if not order:
+            return self._change(align(latest, self.mapping), latest.select("_id"), batches=batches)
+        kept, marks = self._in_order(latest, list(order))
+        if kept.isEmpty():
+            return Pending(self.spark, self.path, self.version + 1, {**self.meta, "batches": batches}) if source is not None else None
+        return self._change(align(kept, self.mapping), kept.select("_id"), marks, batches)
+
+    def delete(self, ids: DataFrame, order: list[str] = ()) -> Collection:
+        """Delete by ``_id``. With an order a deletion counts like an ordered write: only after the last one."""
+        if not order:
+            return self._change(None, materialize(ids.select("_id").distinct(), "deleted")).publish()
+        kept, marks = self._in_order(materialize(required(last_per_id(ids.select("_id", *order), list(order))), "deleted"), list(order))
+        return self if kept.isEmpty() else self._change(None, kept.select("_id"), marks).publish()
+
+    def _order(self) -> T.StructType:
+        return T.StructType.fromJson(json.loads(self.meta["order"]))
+
+    def _in_order(self, latest: DataFrame, order: list[str]) -> tuple[DataFrame, DataFrame]:
+        """The rows that come after the last ordered write of their id, and their new marks."""
+        if self.meta["order"] is None:
+            rank = F.struct(*order)
+        else:
+            known = self._order()
+            if known.names != order:
+                raise ValueError(f"order={order}; earlier writes were ordered by {known.names}")
+            rank = F.struct(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in known.fields])
+            stored = self._of_ids(self._live(self._parts("marks")), latest)
+            seen, mark = unused("_seen", latest), unused("_mark", latest)
+            stored = stored.select(F.col("_id").alias(seen), F.col("mark").alias(mark))
+            joined = latest.join(stored, F.col("_id") == F.col(seen), "left").where(F.col(mark).isNull() | (rank > F.col(mark)))
+            latest = materialize(joined.select(*latest.columns), "newer")
+        return latest, latest.select("_id", rank.alias("mark"))
+
+    def _of_ids(self, rows: DataFrame, ids: DataFrame) -> DataFrame:
+        """The rows of some ids. A short list of ids reaches the scan and prunes it, a long one is joined."""
+        few = [r["_id"] for r in ids.select("_id").limit(MAX_TERMS + 1).collect()]
+        return rows.where(one_of("_id", few)) if len(few) <= MAX_TERMS else rows.join(ids.select("_id"), "_id", "left_semi")
+
+    def _change(self, added: DataFrame | None, gone: DataFrame, marks: DataFrame | None = None, batches: dict | None = None) -> Pending:
         """Write the next version: documents to add, and ids that no longer count before it."""
-        version = self.version + 1
-        old = self.forward.join(gone, "_id", "left_semi")
-        new = self.forward.limit(0)
+        draft = Draft(self.spark, self.path, self.version + 1)
+        old = self._of_ids(self.forward, gone)
+        words = P.vocabulary(old, self.buckets).withColumns({c: -F.col(c) for c in ("df", "ttf")})
+        totals = P.field_stats(old).withColumns({c: -F.col(c) for c in ("n_docs", "n_tokens")})
         schema = self.schema_on_read
         if added is not None:
             schema = T.StructType([*schema.fields, *(f for f in added.schema.fields if f.name not in schema.names)])
-            _put(sorted_docs(added, self.sort).write.option("parquet.bloom.filter.enabled#_id", "true"), self.path, "docs", version)
-            stored = self.spark.read.schema(added.schema).parquet(f"{self.path}/docs/v={version}")
-            _put(forward_table(stored, self.text).write, self.path, "forward", version)
-            new = self.spark.read.schema(SCHEMAS["forward"]).parquet(f"{self.path}/forward/v={version}")
-        _put(gone.write, self.path, "gone", version)
-        _terms(P.postings(new, self.buckets), self.path, "postings", version)
-        sides = [(P.vocabulary(new, self.buckets), 1), (P.vocabulary(old, self.buckets), -1)]
-        words = [df.select("field", "token", "term_bucket", (F.col("df") * s).alias("df"), (F.col("ttf") * s).alias("ttf")) for df, s in sides]
-        change = words[0].unionByName(words[1]).groupBy("field", "token", "term_bucket").agg(F.sum("df").alias("df"), F.sum("ttf").alias("ttf"))
-        _terms(change.where("df <> 0 OR ttf <> 0").select("token", "df", "ttf", "field", "term_bucket"), self.path, "vocabulary", version)
-        totals = P.field_stats(new).unionByName(P.field_stats(old).select("field", (-F.col("n_docs")).alias("n_docs"), (-F.col("n_tokens")).alias("n_tokens")))
-        _put(totals.coalesce(1).write, self.path, "field_stats", version)
-        return _publish(self.spark, self.path, version, self.base, schema, self.mapping, self.settings, self.sort, self.buckets)
+            new = draft.forward(forward_table(draft.docs(added, self.sort), self.text))
+            draft.postings(P.postings(new, self.buckets))
+            words, totals = words.unionByName(P.vocabulary(new, self.buckets)), totals.unionByName(P.field_stats(new))
+        change = words.groupBy("field", "token", "term_bucket").agg(F.sum("df").alias("df"), F.sum("ttf").alias("ttf"))
+        draft.vocabulary(change.where("df <> 0 OR ttf <> 0"))
+        draft.write(totals.coalesce(1), "field_stats")
+        draft.write(gone, "gone")
+        changes = {"schema": schema.json(), "batches": self.meta["batches"] if batches is None else batches}
+        if marks is not None:
+            draft.write(marks, "marks", ids=True)
+            changes["order"] = self.meta["order"] or marks.schema["mark"].dataType.json()
+        return self._next(draft, **changes)
+
+    def _next(self, draft: Draft, **changes) -> Pending:
+        """The next version: this one's folders, then those of the draft."""
+        parts = {t: [*self.meta["parts"].get(t, []), *draft.folders().get(t, [])] for t in {**self.meta["parts"], **draft.folders()}}
+        return Pending(self.spark, self.path, draft.version, {**self.meta, "parts": parts, **changes})
 
     def compact(self) -> Collection:
         """Write the current state as a new base, so that readers no longer merge versions."""
-        return self._next(self.docs, self.forward)
+        draft = Draft(self.spark, self.path, self.version + 1)
+        draft.docs(self.docs, self.sort)
+        _index(draft, draft.forward(self.forward.repartitionByRange("_id").sortWithinPartitions("_id")), self.buckets)
+        if self.meta["order"] is not None:
+            draft.write(self._live(self._parts("marks")), "marks", ids=True)
+        meta = {**self.meta, "base": draft.version, "since": {}, "parts": draft.folders()}
+        return Pending(self.spark, self.path, draft.version, meta).publish()
 
     def update(self, where: Column, assignments: dict[str, str], params: dict | None = None) -> Collection:
         """Scripted update of the documents that match ``where``; only they are analyzed again."""
         return self.put(scripted_update(self.docs.where(where), F.lit(True), assignments, params))
 
     def put_mapping(self, new: Mapping, settings: AnalysisSettings | None = None) -> Collection:
-        """Evolve the mapping; only fields whose index-side analysis changed are analyzed again."""
+        """Evolve the mapping; only fields whose index-side analysis changed are analyzed and written again.
+
+        Documents are written again only where a new multi-field needs a column of its own. A new
+        field without values is part of the schema alone.
+        """
         settings = settings or self.settings
         merged, changed = evolve(self.mapping, new, settings)
         if not changed and merged.dynamic == self.mapping.dynamic and settings == self.settings:
             return self
-        docs = with_multi_fields(align(self.docs, merged), merged, settings)
+        draft = Draft(self.spark, self.path, self.version + 1)
+        aligned = align(self.docs, merged)
+        docs = with_multi_fields(aligned, merged, settings)
+        changes = {"mapping": merged.to_json(), "settings": settings.to_json(), "schema": docs.schema.json()}
         after = text_fields(merged, settings)
         redo = {n: f for n, f in after.items() if n not in self.text or self.text[n].analyzer != f.analyzer or self.text[n].options != f.options}
-        kept = self.forward.where(F.col("field").isin(sorted(set(after) - set(redo))))
-        forward = kept.unionByName(forward_table(docs, redo)) if redo else kept
-        return self._next(docs, forward, merged, settings)
+        if redo:
+            _index(draft, draft.forward(forward_table(docs, redo)), self.buckets)
+            changes["since"] = {**self.since, **dict.fromkeys(redo, draft.version)}
+        if docs.columns != aligned.columns:
+            draft.docs(docs, self.sort)
+        pending = self._next(draft, **changes)
+        if "docs" in draft.tables:
+            # all live documents stand in the new folder
+            pending.meta["parts"]["docs"] = draft.folders()["docs"]
+        return pending.publish()
 
     def put_settings(self, settings: AnalysisSettings) -> Collection:
         return self.put_mapping(self.mapping, settings)
 
-    def _next(self, docs: DataFrame, forward: DataFrame, mapping: Mapping | None = None, settings: AnalysisSettings | None = None) -> Collection:
-        return _write(
-            self.spark, self.path, self.version + 1, docs, forward, mapping or self.mapping, settings or self.settings, self.sort, self.buckets
-        )
-
 
 def bulk_put(targets: dict[str, Collection], batch: DataFrame, order: list[str] = ()) -> dict[str, Collection]:
     """Put each row of a batch into the collection that its ``_index`` names, and give back the new ones.
 
     A row for a collection that is not among the targets, or without a name, is an error at run time.
+    The versions of all targets are written before the first one is published, so a job that fails
+    leaves all targets as they were. Publication itself is one small file per target.
     """
     names = sorted(targets)
     known = F.coalesce(F.col("_index").isin(names), F.lit(False))
     checked = batch.withColumn("_index", F.when(known, F.col("_index")).otherwise(F.raise_error(F.concat(F.lit("no collection for "), F.to_json(F.struct("_index", "_id")))).cast("string")))
     rows = materialize(checked, "bulk")
-    return {name: targets[name].put(rows.where(F.col("_index") == name).drop("_index"), order) for name in names}
+    ready = {name: targets[name].prepare_put(rows.where(F.col("_index") == name).drop("_index"), order) for name in names}
+    for p in filter(None, ready.values()):
+        if (versions.newest(p.spark, p.path) or 0) >= p.version:
+            raise versions.VersionExists(f"version {p.version} of {p.path} exists; no target was changed")
+    return {name: p.publish() if p else targets[name] for name, p in ready.items()}
 
 
-def _put(writer: DataFrameWriter, path: str, table: str, version: int) -> None:
-    # a version is written once: a second writer of the same version fails here
-    writer.mode("errorifexists").parquet(f"{path}/{table}/v={version}")
+def _index(draft: Draft, forward: DataFrame, buckets: int) -> None:
+    """Postings, vocabulary and totals of a whole forward table."""
+    draft.postings(P.postings(forward, buckets))
+    draft.vocabulary(P.vocabulary(forward, buckets))
+    draft.write(P.field_stats(forward).coalesce(1), "field_stats")
 
 
-def _terms(rows: DataFrame, path: str, table: str, version: int) -> None:
-    # rebalance: adaptive execution splits the bucket of a very common term and merges small ones
-    dealt = rows.hint("rebalance", "field", "term_bucket").sortWithinPartitions("field", "term_bucket", "token")
-    _put(dealt.write.partitionBy("field", "term_bucket"), path, table, version)
-
-
-def _write(spark, path, version, docs, forward, mapping, settings, sort, buckets) -> Collection:
-    """Write a base version: all documents, and their terms where they are given."""
-    at = lambda table: f"{path}/{table}/v={version}"
-    _put(sorted_docs(docs, sort).write.option("parquet.bloom.filter.enabled#_id", "true"), path, "docs", version)
-    if forward is None:
-        stored = spark.read.schema(docs.schema).parquet(at("docs"))
-        forward = forward_table(spread(stored), text_fields(mapping, settings))
-    _put(forward.write, path, "forward", version)
-    forward = spark.read.schema(SCHEMAS["forward"]).parquet(at("forward"))
-    _put(docs.select("_id").limit(0).write, path, "gone", version)
-    _terms(P.postings(forward, buckets), path, "postings", version)
-    _terms(P.vocabulary(forward, buckets), path, "vocabulary", version)
-    _put(P.field_stats(forward).coalesce(1).write, path, "field_stats", version)
-    return _publish(spark, path, version, version, docs.schema, mapping, settings, sort, buckets)
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a folder holds a collection with a published version."""
+    return versions.newest(spark, path) is not None
 
 
-def _publish(spark, path, version, base, schema, mapping, settings, sort, buckets) -> Collection:
-    meta = {"mapping": mapping.to_json(), "settings": settings.to_json(), "buckets": buckets, "sort": sort, "base": base, "schema": schema.json()}
-    text = spark.range(1).select(F.lit(json.dumps(meta, ensure_ascii=False)).alias("value")).coalesce(1)
-    text.write.mode("errorifexists").text(f"{path}/meta/v={version}")
-    return Collection(spark, path, meta, version)
+def one_of(column: str, values: list[str]) -> Column:
+    """``column IN (values)`` as one expression; a long list of literals is slow to build one by one."""
+    if not values:
+        return F.lit(False)
+    # as bytes, so that no character of a value needs care
+    return F.expr(f"{column} IN ({', '.join(f"CAST(X'{v.encode().hex()}' AS STRING)" for v in sorted(set(values)))})")
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    """Whether a folder holds a collection with a finished version."""
-    try:
-        return not spark.read.schema("value string, v int").text(f"{path}/meta").limit(1).isEmpty()
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return False
+def unused(name: str, df: DataFrame) -> str:
+    """A column name that the frame does not have."""
+    while name in df.columns:
+        name += "_"
+    return name
 
 
 def sorted_docs(docs: DataFrame, sort: list[tuple[str, str]]) -> DataFrame:

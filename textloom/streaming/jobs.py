@@ -25,14 +25,17 @@ def upsert_stream(stream: DataFrame, path: str, checkpoint: str, order: list[str
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def upsert_index_stream(stream: DataFrame, path: str, checkpoint: str, order: list[str]) -> StreamingQuery:
+def upsert_index_stream(stream: DataFrame, path: str, checkpoint: str, order: list[str], source: str | None = None) -> StreamingQuery:
     """Feed a bulk stream into a collection; each micro-batch becomes one version of it.
 
-    A replayed batch puts the same documents again, which changes nothing.
+    A row counts only if it comes after the last ordered write of its id, so late rows of later batches
+    are left out. The version notes the number of its batch under ``source`` (by default the checkpoint,
+    which numbers the batches): a batch that is replayed after it was published adds nothing, and one
+    that failed before is put as if for the first time.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        Collection.open(batch.sparkSession, path).put(batch, order)
+        Collection.open(batch.sparkSession, path).put(batch, order, source or checkpoint, batch_id)
 
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
