@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from textloom.catalog.common import register, table
-from textloom.operators import analyzers as A, tokenizers as TK
+from textloom.catalog.common import STD_LOW, register, table
+from textloom.operators import analyzers as A
+from textloom.operators.scoring import union_all
 from textloom.plans import queries as Q, search as R
 from textloom.plans.mapping import Field, Mapping
 from textloom.session import new_table_path
 from textloom.sources.collection import Collection
-from textloom.streaming import jobs
+from textloom.streaming import jobs, percolate
 
 SCHEMA = "event_id bigint, ts timestamp, user_id bigint, event_type string, value double, props string"
 
@@ -101,3 +102,46 @@ def stream_replay(spark, sf):
     # the frequency of a word tells whether any replaced document still counts
     words = index.vocabulary("event_type").select(F.col("token"), F.col("df").alias("n"))
     return index.docs.join(words, F.col("event_type") == F.col("token")).select("_id", "event_id", "event_type", "n")
+
+
+# words 1 to 3 in a row; 4 and 5 both; 6 or 7 in English documents of some length without word 2; 8 to 10 together or word 11
+_STORED = f"""w AS (SELECT item_id, {STD_LOW} AS l FROM benchmark),
+  d AS (SELECT CAST(doc_id AS VARCHAR) AS _id, lang, n_chars, {STD_LOW} AS l FROM documents),
+  t AS (SELECT _id, unnest(l) AS token, generate_subscripts(l, 1) AS p FROM d),
+  h AS (SELECT DISTINCT _id, token FROM t),
+  k AS (SELECT item_id, generate_subscripts(l, 1) AS i, unnest(l) AS token FROM w),
+  m AS (SELECT DISTINCT k.item_id, k.i, h._id FROM k JOIN h USING (token) WHERE k.i <= 11),
+  ph AS (SELECT DISTINCT a.item_id, x._id FROM k a JOIN k b ON b.item_id = a.item_id AND b.i = 2 JOIN k c ON c.item_id = a.item_id AND c.i = 3
+         JOIN t x ON x.token = a.token JOIN t y ON y._id = x._id AND y.p = x.p + 1 AND y.token = b.token JOIN t z ON z._id = x._id AND z.p = x.p + 2 AND z.token = c.token WHERE a.i = 1)"""
+
+
+@register(
+    "stream_percolate",
+    f"""WITH {_STORED}
+    SELECT _id, 'phrase' || item_id AS query_id FROM ph
+    UNION ALL SELECT _id, 'both' || item_id FROM m WHERE i IN (4, 5) GROUP BY _id, item_id HAVING count(*) = 2
+    UNION ALL SELECT DISTINCT m._id, 'bool' || item_id FROM m JOIN d USING (_id) WHERE i IN (6, 7) AND lang = 'en' AND n_chars >= 400 AND n_chars < 4000 AND (item_id, _id) NOT IN (SELECT (item_id, _id) FROM m WHERE i = 2)
+    UNION ALL SELECT _id, 'either' || item_id FROM m WHERE i BETWEEN 8 AND 11 GROUP BY _id, item_id HAVING count(*) FILTER (WHERE i <= 10) = 3 OR count(*) FILTER (WHERE i = 11) = 1""",
+)
+def stream_percolate(spark, sf):
+    """Four stored queries for each benchmark text, met by a stream of all documents."""
+    words = F.transform(A.standard().array(F.col("text")), lambda t: t["token"])
+    some = lambda first, last: F.array_join(F.slice("l", first, last - first + 1), " ")
+    c = percolate.clause
+    asked = {
+        "phrase": [c("must", "phrase", "text", some(1, 3))],
+        "both": [c("must", "match", "text", some(4, 5), every=True)],
+        "bool": [c("must", "match", "text", some(6, 7)), c("must", "term", "lang", "en"), c("must", "range", "n_chars", gte=400.0, lt=4000.0), c("must_not", "match", "text", some(2, 2))],
+        "either": [c("should", "match", "text", some(8, 10), every=True), c("should", "match", "text", some(11, 11))],
+    }
+    items = table(spark, sf, "benchmark").select("item_id", words.alias("l"))
+    rows = [items.select(F.concat(F.lit(name), "item_id").alias("query_id"), F.array(*clauses).alias("clauses")) for name, clauses in asked.items()]
+    mapping = Mapping((Field("text", "text"), Field("lang", "keyword"), Field("n_chars", "long")))
+    standing = percolate.store(union_all(rows), mapping)
+    docs = table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("_id"), "text", "lang", "n_chars")
+    path = new_table_path(spark, "documents-feed")
+    docs.repartition(3, "_id").write.parquet(path)
+    stream = spark.readStream.schema(docs.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    found = new_table_path(spark, "percolated")
+    percolate.percolate_stream(stream, standing, found, new_table_path(spark, "percolated-log")).awaitTermination()
+    return spark.read.schema("_id string, query_id string, batch int").parquet(found).drop("batch")
