@@ -112,8 +112,8 @@ def common_words(source: DataFrame, share: float = COMMON, least: float = LANGUA
     bucket = F.pmod(F.xxhash64("word"), F.lit(BUCKETS)).cast("int")
     # at most BUCKETS rows a language
     counts = materialize(spoken.groupBy("lang", bucket.alias("bucket")).count(), "word-buckets")
-    every = counts.agg(F.sum("count").alias("every"))
-    totals = counts.groupBy("lang").agg(F.sum("count").alias("total")).join(F.broadcast(every), F.col("total") >= least * F.col("every")).drop("every")
+    every = counts.agg(F.sum("count")).scalar()
+    totals = counts.groupBy("lang").agg(F.sum("count").alias("total")).filter(F.col("total") >= least * every)
     # at most 1 / least languages, and 1 / share buckets of each
     heavy = counts.join(F.broadcast(totals), "lang").filter(F.col("count") >= share * F.col("total")).drop("count")
     wanted = F.broadcast(heavy.withColumnsRenamed({"lang": "of_lang", "bucket": "of_bucket"}))
