@@ -265,6 +265,29 @@ def test_a_prefix_reads_its_terms_only(spark, large):
     assert plan.hits(large, Q.Prefix("text", "w0")).count() == 10_000 and plan.hits(large, Q.Prefix("text", "x")).count() == 0
 
 
+def test_a_transformed_read_stops_when_it_is_filled(spark, large):
+    seen = spark.sparkContext.accumulator(0)
+
+    def odd(df):
+        def count(batches):
+            for b in batches:
+                seen.add(b.num_rows)
+                yield b
+
+        return df.mapInArrow(count, df.schema).where("n % 2 = 1").select("_id", "n")
+
+    request = R.Search(filter=(Q.Range("n", gte=0),), sort=(("n", "desc"),))
+    assert [r["n"] for r in R.transformed(large, request, odd, 5).collect()] == [29_999, 29_997, 29_995, 29_993, 29_991]
+    assert seen.value <= 25  # a step of 5 and one of 20
+    rare = lambda df: df.where("n % 10000 = 7").select("_id", F.explode(F.array("n", F.lit(1))).alias("n"))
+    assert [r["n"] for r in R.transformed(large, request, rare, 4).collect()] == [1, 20_007, 1, 10_007]
+    assert [r["n"] for r in R.transformed(large, request, rare, 50).collect()] == [1, 20_007, 1, 10_007, 1, 7]
+    none = R.transformed(large, R.Search(filter=(Q.Range("n", lt=0),), sort=(("n", "asc"),)), odd, 5)
+    assert none.columns == ["_id", "n"] and none.isEmpty()
+    third = R.Search(filter=(Q.Range("n", lt=9),), sort=(("n", "asc"),), from_=3)
+    assert [r["n"] for r in R.transformed(large, third, odd, 2).collect()] == [3, 5]
+
+
 def test_a_change_reads_the_terms_of_its_documents_only(spark, large, monkeypatch):
     read = []
     real = C.P.vocabulary

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from textloom.plans import queries as Q
 from textloom.plans.compile import Filtered, compile_query
+from textloom.session import materialize
 from textloom.sources.collection import Collection, unused
 
 # Limits of one request.
@@ -98,7 +99,9 @@ def after(sort: tuple[tuple[str, str], ...], values: tuple) -> Column:
     return reduce(lambda a, b: a | b, tests)
 
 
-def _order(sort: tuple[tuple[str, str], ...]) -> list[Column]:
+def _order(sort: tuple[tuple[str, str], ...], backwards: bool = False) -> list[Column]:
+    if backwards:
+        return [F.col(n).desc_nulls_first() if o == "asc" else F.col(n).asc_nulls_first() for n, o in sort]
     return [F.col(n).asc_nulls_last() if o == "asc" else F.col(n).desc_nulls_last() for n, o in sort]
 
 
@@ -196,16 +199,48 @@ def read_all(index: Collection, request: Search) -> DataFrame:
 def transformed(index: Collection, request: Search, fn: Callable[[DataFrame], DataFrame], size: int) -> DataFrame:
     """The first ``size`` rows of ``fn`` over the hits; ``fn`` may drop and add rows, but keeps ``_id``.
 
-    The rows of ``fn`` are put in the order of their hits, several of one hit by their own columns, so
-    which rows are kept does not depend on the plan.
+    The query runs once and leaves the keys of its hits. They are then taken in steps, each four times
+    as large as the one before, until ``fn`` has made enough rows: only the documents of these hits are
+    read and transformed. ``fn`` sees the hits of one step at a time, so it has to treat each hit on its
+    own. Its rows are put in the order of their hits, several of one hit by their own columns.
     """
     request = Search(**{**request.__dict__, "size": None})
-    made = fn(run(index, request))
-    if "_id" not in made.columns:
-        raise ValueError("the function has to keep the column _id, which tells the place of its rows")
     df, sort = _with_keys(index, request)
-    keys = df.select(F.col("_id").alias("_hit"), *[F.col(n).alias(f"_sort_{i}") for i, (n, _) in enumerate(sort)])
-    own = [F.col(c).asc_nulls_last() for c in made.columns if not isinstance(made.schema[c].dataType, (T.MapType, T.VariantType))]
-    placed = made.join(keys, made["_id"] == keys["_hit"])
-    order = _order(tuple((f"_sort_{i}", o) for i, (_, o) in enumerate(sort)))
-    return placed.orderBy(*order, F.col("_hit").asc(), *own).limit(size).select(*made.columns)
+    cols = source_columns(index.docs, request.source)
+    by_score = not request.sort and request.sort_script is None
+    shown = _shown(request, by_score)
+    names = [f"_key_{i}" for i in range(len(sort))]
+    keys = df.select(F.col("_id").alias("_hit"), shown.alias("_shown"), *[F.col(n).alias(k) for k, (n, _) in zip(names, sort)])
+    places = (*zip(names, (o for _, o in sort)), ("_hit", "asc"))
+    if request.from_:
+        keys = keys.orderBy(*_order(places)).offset(request.from_)
+    keys = materialize(keys, "hit-keys")
+
+    def hits_of(page: DataFrame, docs: DataFrame) -> DataFrame:
+        rows = docs.select("_id", *cols).join(page, F.col("_id") == F.col("_hit"))
+        return rows.orderBy(*_order(places)).select("_id", F.col("_shown").alias("_score"), *cols)
+
+    parts, have, step, last = [], 0, max(size, MIN_SIZE), ()
+    while have < size:
+        rest = keys.where(after(places, last)) if last else keys
+        page = materialize(rest.orderBy(*_order(places)).limit(step), "hits")
+        ends = page.orderBy(*_order(places, backwards=True)).limit(1).collect()
+        if parts and not ends:
+            break
+        few = [r["_hit"] for r in page.select("_hit").collect()] if step <= MAX_SIZE else None
+        docs = index.docs.join(page.select(F.col("_hit").alias("_id")), "_id", "left_semi") if few is None else index.fetch(few)
+        made = fn(hits_of(page, docs))
+        if "_id" not in made.columns:
+            raise ValueError("the function has to keep the column _id, which tells the place of its rows")
+        wrapped = made.select(F.struct(*[F.col(f"`{c}`") for c in made.columns]).alias("row"))
+        part = materialize(wrapped.join(page, F.col("row._id") == F.col("_hit")), "transformed")
+        parts.append(part)
+        if not ends:
+            break
+        have += part.count()
+        last = tuple(ends[0][n] for n, _ in places)
+        step *= 4
+    rows = reduce(DataFrame.unionByName, parts)
+    fields = rows.schema["row"].dataType.fields
+    own = [F.col(f"row.`{f.name}`").asc_nulls_last() for f in fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    return rows.orderBy(*_order(places), *own).limit(size).select("row.*")
