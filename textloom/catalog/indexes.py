@@ -112,9 +112,14 @@ _SPECS = {
 }
 
 
+#: Fields that are searched with edits.
+_SPELLED = {"documents": ("text",), "part": ("p_name", "p_type", "p_name.sound")}
+
+
 def index_for(spark: SparkSession, sf: str, name: str) -> Collection:
     key = (spark.sparkContext.applicationId, sf, name)
     if key not in _built:
         docs, mapping, settings, sort = _SPECS[name]
-        _built[key] = Collection.create(spark, new_table_path(spark, name), docs(spark, sf), mapping, settings, list(sort), buckets=4)
+        made = Collection.create(spark, new_table_path(spark, name), docs(spark, sf), mapping, settings, list(sort), buckets=4)
+        _built[key] = made.store_spellings(*_SPELLED.get(name, ()))
     return _built[key]

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from textloom.operators.analyzers import Analyzer
-from textloom.operators.fuzzy import fuzzy_join, max_edits
+from textloom.operators.fuzzy import fuzzy_join, max_edits, stored_join
 from textloom.operators.postings import terms_of
 from textloom.operators.similarity import SIMILARITY
 from textloom.plans import queries as Q
@@ -47,12 +47,13 @@ def expand_members(result: DataFrame, members: DataFrame) -> DataFrame:
     return members.join(result.withColumnRenamed("query_id", "key"), "key").drop("key").select("query_id", "rank", "_id", "_score")
 
 
-def _spelled(terms: DataFrame, vocab: DataFrame, fuzziness: int | str | None) -> DataFrame:
+def _spelled(terms: DataFrame, vocab: DataFrame, fuzziness: int | str | None, spellings: DataFrame | None = None) -> DataFrame:
     """Query terms with the vocabulary terms they stand for, and the weight of each."""
     if fuzziness in (None, 0, "0"):
         return terms.join(vocab, "token").withColumns({"term": F.col("token"), "weight": F.lit(1.0)})
     edits = 2 if str(fuzziness).upper() == "AUTO" else int(fuzziness)
-    near = fuzzy_join(terms.select(F.col("token").alias("q")), vocab.select("token"), edits)
+    asked = terms.select(F.col("token").alias("q"))
+    near = fuzzy_join(asked, vocab.select("token"), edits) if spellings is None else stored_join(asked, spellings, edits)
     weight = F.lit(1.0) - F.col("d") / F.least(F.length("q"), F.length("token"))
     near = near.where(F.col("d") <= max_edits(F.col("q"), fuzziness)).withColumn("weight", weight).where("weight > 0").drop("d")
     return terms.withColumnRenamed("token", "term").join(near, F.col("term") == F.col("q")).drop("q").join(vocab, "token")
@@ -74,7 +75,7 @@ def batch_search(
     for no, name in enumerate(names):
         spec, stats = index.text[name], index.stats[name]
         own = terms.where(F.col("no") == no).drop("no")
-        wanted = _spelled(own, index.vocabulary(name).select("token", "df", "ttf"), fuzziness)
+        wanted = _spelled(own, index.vocabulary(name).select("token", "df", "ttf"), fuzziness, index.spellings(name))
         rows = index.postings(name).select("token", "_id", "tf", "dl").join(wanted, "token")
         score = SIMILARITY[spec.similarity](F.col("tf"), F.col("dl"), F.col("df"), F.col("ttf"), stats, spec.norms)
         rows = rows.select("query_id", "_id", "term", (F.col("qtf") * F.lit(spec.boost) * F.col("weight") * score).alias("score"))

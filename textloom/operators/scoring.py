@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from textloom.operators.analyzers import Analyzer
-from textloom.operators.fuzzy import expand_terms
+from textloom.operators.fuzzy import edits_of, expand_terms
 from textloom.operators.similarity import K1, B, SIMILARITY, idf, saturation
 from textloom.sources.collection import Collection
 
@@ -44,7 +44,8 @@ def term_scores(
     stats = index.stats[field]
     formula = SIMILARITY[spec.similarity]
     fuzzy = fuzziness not in (None, 0, "0")
-    tokens = None if fuzzy else [t for _, t, _ in terms]
+    # with stored spellings the terms near a word are few literal ones, too
+    tokens = index.near_terms(field, [(t, edits_of(t, fuzziness)) for _, t, _ in terms]) if fuzzy else [t for _, t, _ in terms]
     vocab = index.vocabulary(field, tokens).select("token", "df", "ttf", "term_bucket")
     if fuzzy:
         wanted = expand_terms(vocab, terms, fuzziness, prefix_length, max_expansions)

@@ -5,6 +5,7 @@
 ``postings``    one row per (field, term, document), partitioned by field and term bucket
 ``vocabulary``  document and total frequency per (field, term), by field, sorted by term across files
 ``field_stats`` two totals per field
+``spellings``   for fields that ask for it: the terms by their pieces, for fuzzy lookup
 ``gone``        ids that a change replaced or deleted
 ``marks``       the order of the last ordered write of an id
 ``meta``        one JSON file per version: mapping, settings, options and the folders of each table
@@ -28,6 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from textloom.operators import postings as P
 from textloom.operators.analyzers import AnalysisSettings, Analyzer
+from textloom.operators.fuzzy import MAX_EDITS, bucket_of_key, key_bucket, lookup_keys, spelling_keys
 from textloom.operators.similarity import FieldStats
 from textloom.operators.tokenfilters import Shingle
 from textloom.plans.mapping import TEXT_TYPES, Field, Mapping, evolve
@@ -41,6 +43,7 @@ SCHEMAS = {
     "postings": "token string, _id string, tf bigint, dl bigint, positions array<int>, field string, term_bucket int",
     "vocabulary": "token string, df bigint, ttf bigint, term_bucket int, field string",
     "field_stats": "field string, n_docs bigint, n_tokens bigint",
+    "spellings": "key string, token string, field string, key_bucket int",
     "gone": "_id string",
 }
 #: Terms of a prefix that are named one by one; longer lists are read by their buckets and the prefix.
@@ -123,7 +126,7 @@ class Draft:
 
     def write(self, rows: DataFrame, table: str, *partitions: str, ids: bool = False) -> DataFrame:
         """Write a table and read it back; ``ids`` adds a bloom filter on ``_id``."""
-        where = f"{self.path}/{table}/v={self.version}/w={self.name}"
+        where = self.place(table)
         writer = rows.write.mode("errorifexists")
         if ids:
             # sized for the ids of one row group
@@ -132,6 +135,9 @@ class Draft:
         self.tables.append(table)
         return self.spark.read.schema(rows.schema).parquet(where)
 
+    def place(self, table: str) -> str:
+        return f"{self.path}/{table}/v={self.version}/w={self.name}"
+
     def docs(self, docs: DataFrame, sort: list) -> DataFrame:
         return self.write(sorted_docs(docs, sort), "docs", ids=True)
 
@@ -148,6 +154,12 @@ class Draft:
         rows = rows.select("token", "df", "ttf", "term_bucket", "field")
         self.write(rows.repartitionByRange("field", "token").sortWithinPartitions("field", "token"), "vocabulary", "field")
 
+    def spellings(self, terms: DataFrame, buckets: int) -> None:
+        """The terms ``(field, token)`` under the keys of their pieces."""
+        rows = terms.select("field", "token", F.explode(spelling_keys(F.col("token"))).alias("key")).withColumn("key_bucket", key_bucket(F.col("key"), buckets))
+        dealt = rows.select("key", "token", "field", "key_bucket").hint("rebalance", "field", "key_bucket").sortWithinPartitions("field", "key_bucket", "key")
+        self.write(dealt, "spellings", "field", "key_bucket")
+
     def folders(self) -> dict[str, list]:
         return {t: [[self.version, self.name]] for t in self.tables}
 
@@ -209,7 +221,7 @@ class Collection:
         stored = draft.docs(docs, list(sort))
         _index(draft, draft.forward(forward_table(spread(stored), text_fields(mapping, settings))), buckets)
         meta = {
-            "mapping": mapping.to_json(), "settings": settings.to_json(), "buckets": buckets, "sort": list(sort), "base": 1, "since": {}, "order": None, "batches": {},
+            "mapping": mapping.to_json(), "settings": settings.to_json(), "buckets": buckets, "sort": list(sort), "base": 1, "since": {}, "order": None, "batches": {}, "spelled": [],
             "schema": docs.schema.json(), "parts": draft.folders(),
         }
         return Pending(spark, path, 1, meta).publish()
@@ -306,6 +318,24 @@ class Collection:
         total = rows.groupBy("token", "field", "term_bucket").agg(F.sum("df").alias("df"), F.sum("ttf").alias("ttf"))
         return total.where("df > 0").select("token", "df", "ttf", "field", "term_bucket")
 
+    def spellings(self, field: str) -> DataFrame | None:
+        """``key, token`` of a field with stored spellings; a term may stand there that no document has any more."""
+        return self._of_field("spellings", field).select("key", "token", "key_bucket") if field in self.meta["spelled"] else None
+
+    def near_terms(self, field: str, words: list[tuple[str, int]]) -> list[str] | None:
+        """The terms within some edits (at most 2) of some words, from the buckets of their keys alone.
+
+        None where spellings are not stored, or where the terms are too many to be named.
+        """
+        rows = self.spellings(field)
+        if rows is None or any(e > MAX_EDITS for _, e in words):
+            return None
+        keys = sorted({k for w, e in words for k in lookup_keys(w, e)})
+        buckets = sorted({bucket_of_key(k, self.buckets) for k in keys})
+        near = reduce(lambda a, b: a | b, [F.levenshtein(F.lit(w), F.col("token"), e) >= 0 for w, e in words])
+        found = rows.where(F.col("key_bucket").isin(buckets) & one_of("key", keys) & near).select("token").distinct().limit(MAX_TERMS + 1).collect()
+        return [r["token"] for r in found] if len(found) <= MAX_TERMS else None
+
     def get(self, _id: str) -> DataFrame:
         return self.docs.where(F.col("_id") == _id)
 
@@ -392,6 +422,8 @@ class Collection:
             new = draft.forward(forward_table(draft.docs(added, self.sort), self.text))
             draft.postings(P.postings(new, self.buckets))
             words, totals = words.unionByName(P.vocabulary(new, self.buckets)), totals.unionByName(P.field_stats(new))
+            if self.meta["spelled"]:
+                draft.spellings(P.vocabulary(new, self.buckets).where(F.col("field").isin(self.meta["spelled"])), self.buckets)
         change = words.groupBy("field", "token", "term_bucket").agg(F.sum("df").alias("df"), F.sum("ttf").alias("ttf"))
         draft.vocabulary(change.where("df <> 0 OR ttf <> 0"))
         draft.write(totals.coalesce(1), "field_stats")
@@ -412,6 +444,8 @@ class Collection:
         draft = Draft(self.spark, self.path, self.version + 1)
         draft.docs(self.docs, self.sort)
         _index(draft, draft.forward(self.forward.repartitionByRange("_id").sortWithinPartitions("_id")), self.buckets)
+        if self.meta["spelled"]:
+            draft.spellings(reduce(DataFrame.unionByName, [self.vocabulary(f).select("field", "token") for f in self.meta["spelled"]]), self.buckets)
         if self.meta["order"] is not None:
             draft.write(self._live(self._parts("marks")), "marks", ids=True)
         meta = {**self.meta, "base": draft.version, "since": {}, "parts": draft.folders()}
@@ -440,6 +474,10 @@ class Collection:
         if redo:
             _index(draft, draft.forward(forward_table(docs, redo)), self.buckets)
             changes["since"] = {**self.since, **dict.fromkeys(redo, draft.version)}
+            again = [f for f in self.meta["spelled"] if f in redo]
+            if again:
+                words = P.vocabulary(self.spark.read.schema(SCHEMAS["forward"]).parquet(draft.place("forward")), self.buckets)
+                draft.spellings(words.where(F.col("field").isin(again)), self.buckets)
         if docs.columns != aligned.columns:
             draft.docs(docs, self.sort)
         pending = self._next(draft, **changes)
@@ -448,6 +486,15 @@ class Collection:
             pending.meta["parts"]["docs"] = draft.folders()["docs"]
         return pending.publish()
 
+    def store_spellings(self, *fields: str) -> Collection:
+        """Store the spellings of some fields' terms; later changes add those of their documents."""
+        new = [f for f in fields if f not in self.meta["spelled"]]
+        if not new:
+            return self
+        draft = Draft(self.spark, self.path, self.version + 1)
+        draft.spellings(reduce(DataFrame.unionByName, [self.vocabulary(f).select("field", "token") for f in new]), self.buckets)
+        return self._next(draft, spelled=[*self.meta["spelled"], *new]).publish()
+
     def put_settings(self, settings: AnalysisSettings) -> Collection:
         return self.put_mapping(self.mapping, settings)
 
