@@ -29,8 +29,36 @@ def haversine_m(lat: Column, lon: Column, lat0: float, lon0: float) -> Column:
     return F.lit(2 * EARTH_RADIUS_M) * F.asin(F.sqrt(F.least(F.lit(1.0), a)))
 
 
+def longitudes(lat0: float, lon0: float, metres: float) -> list[tuple[float, float]] | None:
+    """Ranges of longitude within -180 and 180 that hold the circle; None where it holds a pole.
+
+    A circle over the date line gives two ranges.
+    """
+    radius = metres / EARTH_RADIUS_M
+    if abs(math.radians(lat0)) + radius >= math.pi / 2:
+        return None
+    half = math.degrees(math.asin(min(1.0, math.sin(radius) / math.cos(math.radians(lat0))))) + 1e-6
+    west, east = lon0 - half, lon0 + half
+    if west < -180:
+        return [(west + 360, 180.0), (-180.0, east)]
+    if east > 180:
+        return [(west, 180.0), (-180.0, east - 360)]
+    return [(west, east)]
+
+
 def within(point: Column, lat0: float, lon0: float, metres: float) -> Column:
-    """Distance test; the latitude band first, as it can prune row groups."""
+    """Distance test; the box around the circle first, as its bounds can prune row groups.
+
+    The box counts longitudes from -180 to 180; a point that is given beyond them is tested by its
+    distance alone.
+    """
     lat, lon = point["lat"], point["lon"]
     band = math.degrees(metres / EARTH_RADIUS_M) + 1e-6
-    return lat.between(lat0 - band, lat0 + band) & (haversine_m(lat, lon, lat0, lon0) <= F.lit(float(metres)))
+    box = lat.between(lat0 - band, lat0 + band)
+    ranges = longitudes(lat0, lon0, metres)
+    if ranges is not None:
+        inside = (lon < -180.0) | (lon > 180.0)
+        for west, east in ranges:
+            inside = inside | lon.between(west, east)
+        box = box & inside
+    return box & (haversine_m(lat, lon, lat0, lon0) <= F.lit(float(metres)))
