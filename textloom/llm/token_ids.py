@@ -1,8 +1,14 @@
-"""Token ids of whole documents by a public tokenizer file of the ``tokenizers`` library."""
+"""Token ids of whole documents by a public tokenizer file of the ``tokenizers`` library.
+
+Texts are split into the pattern's matches here; the library's model then encodes distinct matches one
+by one, without the normalising, splitting and tracking of places that ``encode`` adds to each.
+"""
 
 from __future__ import annotations
 
+import json
 import os
+import re
 from functools import cache
 
 import numpy as np
@@ -15,28 +21,76 @@ TOKENIZER = "byte_bpe_50k.json"
 #: Ends every document.
 END = 0
 
-_kept: dict[str, dict[bytes, bytes]] = {}
 
+def _byte_signs() -> str:
+    """The sign that stands for each byte in byte-level vocabularies: itself if it is visible, else the next from 256 on."""
+    visible = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    hidden = iter(range(256, 512))
+    return "".join(chr(b if b in visible else next(hidden)) for b in range(256))
 
-@cache
-def _tokenizer(path: str):
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
 
-    t = Tokenizer.from_file(path)
-    t.encode_special_tokens = True  # special tokens' names in a text are ordinary text
-    return t
+class Coder:
+    """A byte-level tokenizer file: ``words`` encodes matches of its pattern, ``cut`` finds added tokens in a text."""
+
+    def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        tokenizer = Tokenizer.from_file(path)
+        steps = json.loads(tokenizer.to_str())
+        split = steps["pre_tokenizer"] or {}
+        if steps["normalizer"] or split.get("type") != "ByteLevel" or split.get("add_prefix_space") or not split.get("use_regex"):
+            raise ValueError(f"{path} is no plain byte-level tokenizer")
+        added = tokenizer.get_added_tokens_decoder()
+        if odd := [t.content for t in added.values() if t.single_word or t.lstrip or t.rstrip]:
+            raise ValueError(f"added tokens that depend on the text around them: {odd}")
+        self.model = tokenizer.model
+        self.signs = _byte_signs()
+        self.added = {t.content: np.array([i], np.uint32) for i, t in added.items()}
+        # of those that begin at one place the longest
+        self._added = re.compile("({})".format("|".join(map(re.escape, sorted(self.added, key=len, reverse=True)))))
+        self.known: dict[bytes, bytes] = {}
 
+    def cut(self, text: str) -> list[str]:
+        """Ordinary texts and, between them, added tokens."""
+        return self._added.split(text) if any(a in text for a in self.added) else [text]
 
-def _encode(path: str, words: list[bytes]) -> list[bytes]:
-    found = _tokenizer(path).encode_batch_fast([w.decode("utf-8") for w in words], add_special_tokens=False)
-    return [np.array(e.ids, "<u4").tobytes() for e in found]
+    def words(self, words: list[bytes]) -> list[bytes]:
+        signs = b"".join(words).decode("latin-1").translate(self.signs)
+        tokenize, out, start = self.model.tokenize, [], 0
+        ids: list[int] = []
+        for word in words:
+            stop = start + len(word)
+            ids += [token.id for token in tokenize(signs[start:stop])]
+            out.append(len(ids))
+            start = stop
+        data = np.array(ids, "<u4").tobytes()
+        stops = [4 * n for n in out]
+        return [data[a:b] for a, b in zip([0, *stops], stops, strict=False)]
+
+
+@cache
+def coder(path: str) -> Coder:
+    return Coder(path)
 
 
 def document_ids(texts: list[str], path: str | None = None) -> list[np.ndarray]:
-    """Ids of each text and the end id. Only distinct pattern matches go through the tokenizer."""
-    path = path or public_tokenizers.path(TOKENIZER)
-    matches = Matches(texts)
-    ids, firsts = spread_ids(matches, known_ids(_kept.setdefault(path, {}), matches.distinct, lambda words: _encode(path, words)))
-    end = np.array([END], np.uint32)
-    return [np.concatenate((ids[a:b], end)) for a, b in zip(firsts[:-1].tolist(), firsts[1:].tolist(), strict=True)]
+    """Ids of each text, as the library's ``encode`` gives them, and the end id.
+
+    Names of added tokens in a text become those tokens, which is the library's default. Only distinct
+    pattern matches go through the model.
+    """
+    code = coder(path or public_tokenizers.path(TOKENIZER))
+    cuts = [code.cut(t) for t in texts]
+    matches = Matches([part for cut in cuts for part in cut[::2]])
+    ids, firsts = spread_ids(matches, known_ids(code.known, matches.distinct, code.words))
+    end, out, k = np.array([END], np.uint32), [], 0
+    bounds = firsts.tolist()
+    for cut in cuts:
+        parts = [ids[bounds[k] : bounds[k + 1]]]
+        for name in cut[1::2]:
+            k += 1
+            parts += [code.added[name], ids[bounds[k] : bounds[k + 1]]]
+        k += 1
+        out.append(np.concatenate((*parts, end)))
+    return out
