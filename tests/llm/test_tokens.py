@@ -67,13 +67,48 @@ def test_a_full_cache_changes_nothing(reference, monkeypatch):
     bpe._kept.clear()
 
 
-def test_document_ids_are_those_of_the_tokenizer_file():
+@pytest.fixture(scope="module")
+def tokenizer():
     from tokenizers import Tokenizer
 
-    t = Tokenizer.from_file(public_tokenizers.path(token_ids.TOKENIZER))
-    t.encode_special_tokens = True
+    return Tokenizer.from_file(public_tokenizers.path(token_ids.TOKENIZER))
+
+
+def by_library(tokenizer, texts):
+    return [[*e.ids, 0] for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_document_ids_are_those_of_the_tokenizer_file(tokenizer):
     texts = samples()
-    assert [x.tolist() for x in token_ids.document_ids(texts)] == [[*e.ids, 0] for e in t.encode_batch(texts, add_special_tokens=False)]
+    assert [x.tolist() for x in token_ids.document_ids(texts)] == by_library(tokenizer, texts)
+
+
+def test_names_of_added_tokens_are_those_tokens(tokenizer):
+    name = "<|endoftext|>"
+    texts = [f"a {name} b", name, f"x{name}{name}y  ", f"{name}\n {name} ", name[:-1], "", f"é🙂{name}漢"]
+    ids = [x.tolist() for x in token_ids.document_ids(texts)]
+    assert ids == by_library(tokenizer, texts) and ids[1] == [50256, 0]
+    assert token_ids.document_ids([]) == []
+
+
+@pytest.mark.parametrize("kept", [0, 3, 700])
+def test_a_full_bank_changes_nothing(tokenizer, monkeypatch, kept):
+    code = token_ids.coder(public_tokenizers.path(token_ids.TOKENIZER))
+    monkeypatch.setattr(token_ids, "KEPT", kept)
+    monkeypatch.setattr(code, "kept", token_ids.Kept())
+    texts = samples()[:300]
+    for some in (texts[:100], texts[50:], texts):
+        assert [x.tolist() for x in token_ids.document_ids(some)] == by_library(tokenizer, some)
+    assert len(code.kept.keys) <= kept and (np.diff(code.kept.keys.astype(object)) > 0).all()
+
+
+def test_contents_that_share_a_key_are_told_apart(tokenizer, monkeypatch):
+    code = token_ids.coder(public_tokenizers.path(token_ids.TOKENIZER))
+    monkeypatch.setattr(code, "kept", token_ids.Kept())
+    monkeypatch.setattr(token_ids, "mixed", lambda x: x % np.uint64(7))
+    texts = [*samples()[:60], "a", "a\0", "a\0\0", "abcdefgh", "abcdefghijklmnop", "abcdefghijklmnopq"]
+    for _ in range(2):
+        assert [x.tolist() for x in token_ids.document_ids(texts)] == by_library(tokenizer, texts)
 
 
 def test_tables(spark, odd_docs, no_docs, reference):

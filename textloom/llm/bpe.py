@@ -163,8 +163,11 @@ def known_ids(known: dict[bytes, bytes], words: list[bytes], encode: Callable[[l
 def spread_ids(matches: Matches, parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Ids of the texts from the ids of their distinct matches."""
     sizes = np.fromiter(map(len, parts), np.int32, len(parts)) >> 2
-    bank = np.frombuffer(b"".join(parts), "<u4")
-    begin = np.cumsum(sizes, dtype=np.int64) - sizes
+    return spread_bank(matches, np.frombuffer(b"".join(parts), "<u4"), np.cumsum(sizes, dtype=np.int64) - sizes, sizes)
+
+
+def spread_bank(matches: Matches, bank: np.ndarray, begin: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The same, where the ids of a distinct match are ``sizes`` places of ``bank`` from ``begin`` on."""
     each = sizes[matches.index]
     stops = np.cumsum(each, dtype=np.int64)
     total = int(stops[-1]) if len(stops) else 0

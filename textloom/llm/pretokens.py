@@ -7,6 +7,8 @@ found here from the runs of one character class.
 
 from __future__ import annotations
 
+from functools import cached_property
+
 import numpy as np
 
 from textloom.llm.text import LETTER, SPACE, Chunk
@@ -55,8 +57,9 @@ def match_starts(chunk: Chunk) -> np.ndarray:
 class Matches:
     """The matches of a chunk as an index into its distinct ones.
 
-    ``distinct`` lists the byte strings, ``index`` gives one entry per match in order and
-    ``firsts`` the first match of each text, with the total at its end.
+    ``distinct`` lists the byte strings, which lie at ``starts`` of ``data`` with their ``sizes``;
+    ``index`` gives one entry per match in order and ``firsts`` the first match of each text, with
+    the total at its end.
     """
 
     def __init__(self, texts: list[str]):
@@ -64,11 +67,15 @@ class Matches:
         at = match_starts(chunk)
         self.firsts = np.concatenate((np.searchsorted(at, chunk.starts), [len(at)])).astype(np.int64)
         offsets = chunk.byte_offsets()
-        data = chunk.joined.encode("utf-8")
+        self.data = chunk.joined.encode("utf-8")
         starts = offsets[at]
-        sizes = np.append(starts[1:], len(data)) - starts
-        self.index, where = _distinct(data, starts, sizes)
-        self.distinct = [data[s : s + k] for s, k in zip(starts[where].tolist(), sizes[where].tolist(), strict=True)]
+        sizes = np.append(starts[1:], len(self.data)) - starts
+        self.index, where = _distinct(self.data, starts, sizes)
+        self.starts, self.sizes = starts[where], sizes[where]
+
+    @cached_property
+    def distinct(self) -> list[bytes]:
+        return [self.data[s : s + k] for s, k in zip(self.starts.tolist(), self.sizes.tolist(), strict=True)]
 
 
 def _distinct(data: bytes, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
