@@ -7,6 +7,7 @@ SF_SMALL, SF = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
 
 #: Names that operators use themselves.
 CLASHING = "rank hash text_sha256 keep_id class_id component rep shard slot spans score label sequence_id offset length _row _gone".split()
+CLASHING += "_source _at _block _place _of _group _size _start _shard_row _shard_second _step _rank _piece _placed".split()
 
 
 @pytest.fixture(scope="session")

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 from textloom.llm.bfd_pack import best_fit_decreasing, pack_rows, write_packed
-from textloom.llm.cutting_stock import best_pattern, cut_patterns, pack_documents
+from textloom.llm.cutting_stock import best_pattern, cut_patterns, pack, pack_documents
 from textloom.llm.token_ids import document_ids
 
 
@@ -94,6 +94,18 @@ def test_packed_sequences_hold_the_ids(odd_docs):
     assert max(map(len, packed)) <= 64 and sum(map(len, packed)) == sum(len(x) for _, x in known)
 
 
+def test_other_columns_of_pieces_stay(spark):
+    names = "_step _rank _at _block _size _start _place _group _of sequence_id offset".split()
+    pieces = spark.range(40).selectExpr("id AS doc_id", "0L AS start", "id % 16 + 1 AS length", *(f"id AS {n}" for n in names))
+    rows = pack(pieces, 16, 1).collect()
+    assert sorted(r["doc_id"] for r in rows) == list(range(40)) and all(r[n] == r["doc_id"] for r in rows for n in names[:-2])
+    used = defaultdict(int)
+    for r in sorted(rows, key=lambda r: (r["sequence_id"], r["offset"])):
+        assert r["offset"] == used[r["sequence_id"]]
+        used[r["sequence_id"]] += r["length"]
+    assert max(used.values()) <= 16
+
+
 def exploded(packed):
     for r in packed.collect():
         ids, positions = np.frombuffer(r["ids"], "<u4"), np.frombuffer(r["positions"], "<u4")

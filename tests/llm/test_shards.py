@@ -34,6 +34,12 @@ def test_every_column_comes_back(odd_docs):
     assert Counter(map(tuple, out.select(kept).collect())) == Counter(map(tuple, odd_docs.select(kept).collect()))
 
 
+def test_maps_take_part(spark):
+    rows = spark.sql("SELECT id, map('a', id, 'b', id % 2) AS m, array(struct(map(1, id) AS n)) AS deep, id AS _Block FROM range(50)")
+    out = shuffle_into_shards(rows, 3)
+    assert sorted(r["id"] for r in out.collect()) == list(range(50)) and all(r["m"]["a"] == r["deep"][0]["n"][1] == r["_Block"] == r["id"] for r in out.collect())
+
+
 def test_the_query_shards_whole_documents(spark, monkeypatch):
     given, whole = [], shards.shuffle_into_shards
     monkeypatch.setattr(shards, "shuffle_into_shards", lambda df, *a, **b: given.append(df.columns) or whole(df, *a, **b))

@@ -31,6 +31,18 @@ def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, each made longer until no column of ``df`` has it in upper or lower case."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def held_out(doc_id: Column) -> Column:
     """Rows whose labels are never learnt from: crc32 of the id as text is divisible by five."""
     return F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0

@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from textloom.llm.catalog import id_and_text, register, table
+from textloom.llm.catalog import free_names, id_and_text, register, table
 from textloom.llm.numbering import number_rows
 from textloom.llm.text import chunks, slices, texts_of
 from textloom.llm.token_ids import document_ids
@@ -159,21 +159,23 @@ def pieces_of(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", tex
 def pack(pieces: DataFrame, length: int = LENGTH, grain: int = GRAIN) -> DataFrame:
     """Adds ``sequence_id`` and ``offset`` to pieces of 1 to ``length`` tokens.
 
-    ``pieces`` is read several times: pass a written table. Any other columns stay. Equal rows may
-    exchange their places. An empty table gives no rows.
+    ``pieces`` is read several times: pass a written table. Any other columns stay, but for those that
+    have the names of the two. Equal rows may exchange their places. An empty table gives no rows.
     """
-    stepped = pieces.withColumn("_step", F.ceil(F.col("length") / grain).cast("int"))
+    pieces = pieces.drop("sequence_id", "offset")
+    step_, rank_, at_ = free_names(pieces, "_step", "_rank", "_at")
+    stepped = pieces.withColumn(step_, F.ceil(F.col("length") / grain).cast("int"))
     # at most length / grain rows
-    histogram = sorted((r["_step"], r["n"]) for r in stepped.groupBy("_step").agg(F.count(F.lit(1)).alias("n")).collect())
+    histogram = sorted((r["step"], r["n"]) for r in stepped.groupBy(F.col(step_).alias("step")).agg(F.count(F.lit(1)).alias("n")).collect())
     sizes, demand = np.array([s for s, _ in histogram], np.int64), np.array([n for _, n in histogram], np.int64)
     where = places(sizes, cut_patterns(sizes, demand, length // grain))
     order = [F.col(c) for c in ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "_piece") if c in pieces.columns]
-    ranked = number_rows(stepped, "_step", order, "_rank", int(demand.sum()))
+    ranked = number_rows(stepped, step_, order, rank_, int(demand.sum()))
 
     def place(batches):
         for batch in batches:
-            step = batch.column(batch.schema.get_field_index("_step")).to_numpy()
-            rank = batch.column(batch.schema.get_field_index("_rank")).to_numpy()
+            step = batch.column(batch.schema.get_field_index(step_)).to_numpy()
+            rank = batch.column(batch.schema.get_field_index(rank_)).to_numpy()
             sequence, at = np.zeros(len(rank), np.int64), np.zeros(len(rank), np.int64)
             for s in np.unique(step).tolist():
                 rows = np.flatnonzero(step == s)
@@ -181,15 +183,15 @@ def pack(pieces: DataFrame, length: int = LENGTH, grain: int = GRAIN) -> DataFra
                 k = rank[rows] - where.firsts[s][run]
                 sequence[rows] = where.base[s][run] + k // where.copies[s][run]
                 at[rows] = where.before[s][run] + k % where.copies[s][run]
-            kept = [i for i, n in enumerate(batch.schema.names) if n not in ("_step", "_rank")]
+            kept = [i for i, n in enumerate(batch.schema.names) if n not in (step_, rank_)]
             columns = [*(batch.column(i) for i in kept), pa.array(sequence), pa.array(at)]
-            yield pa.RecordBatch.from_arrays(columns, names=[*(batch.schema.names[i] for i in kept), "sequence_id", "_at"])
+            yield pa.RecordBatch.from_arrays(columns, names=[*(batch.schema.names[i] for i in kept), "sequence_id", at_])
 
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema)
-    placed = ranked.mapInArrow(place, f"{kept}, sequence_id bigint, _at bigint")
+    placed = ranked.mapInArrow(place, f"{kept}, sequence_id bigint, `{at_}` bigint")
     # a sequence holds at most length / grain pieces
-    before = Window.partitionBy("sequence_id").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
-    return placed.withColumn("offset", F.coalesce(F.sum("length").over(before), F.lit(0)).cast("long")).drop("_at")
+    before = Window.partitionBy("sequence_id").orderBy(at_).rowsBetween(Window.unboundedPreceding, -1)
+    return placed.withColumn("offset", F.coalesce(F.sum("length").over(before), F.lit(0)).cast("long")).drop(at_)
 
 
 def pack_documents(docs: DataFrame, length: int = LENGTH) -> DataFrame:

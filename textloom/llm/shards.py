@@ -12,9 +12,9 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from textloom.llm.catalog import register, table
+from textloom.llm.catalog import free_names, register, table
 from textloom.llm.numbering import number_rows
 from textloom.session import materialize
 
@@ -51,20 +51,22 @@ def shuffle_into_shards(df: DataFrame, shards: int, seed: int = 0) -> DataFrame:
 
     Every column takes part in the order, so equal rows are the only ties and may be exchanged. Nulls
     are values like others; an empty table gives no rows. Columns of the input named ``shard`` or
-    ``slot`` are replaced. The order depends on the seed and on the partitions of ``df``.
+    ``slot`` are replaced; any other names are free. Columns that hold maps take part as JSON. The
+    order depends on the seed and on the partitions of ``df``.
     """
     spark = df.sparkSession
     held = df.drop("shard", "slot")
-    columns = [F.col(f"`{c}`") for c in held.columns]
+    row_, second_, source_, at_ = free_names(held, "_shard_row", "_shard_second", "_source", "_at")
+    columns = [_comparable(f) for f in held.schema]
     first = [F.xxhash64(*columns, F.lit(seed), F.lit("first")), *columns]
     laid = held.coalesce(max(1, MATRIX // shards)).sortWithinPartitions(*first)
     # the number of the partition, and below it the place in the partition
-    numbered = laid.withColumn("_shard_row", F.monotonically_increasing_id()).withColumn("_shard_second", F.xxhash64(*columns, F.lit(seed), F.lit("second")))
-    source = materialize(numbered, "to-shard").withColumns({"_source": F.shiftright("_shard_row", 33).cast("int"), "_at": F.col("_shard_row").bitwiseAND((1 << 33) - 1)})
-    found = source.groupBy("_source").agg(F.count(F.lit(1)).alias("n")).collect()  # one row per partition
-    counts = np.zeros(max((r["_source"] + 1 for r in found), default=0), np.int64)
+    numbered = laid.withColumn(row_, F.monotonically_increasing_id()).withColumn(second_, F.xxhash64(*columns, F.lit(seed), F.lit("second")))
+    source = materialize(numbered, "to-shard").withColumns({source_: F.shiftright(row_, 33).cast("int"), at_: F.col(row_).bitwiseAND((1 << 33) - 1)})
+    found = source.groupBy(F.col(source_).alias("source")).agg(F.count(F.lit(1)).alias("n")).collect()  # one row per partition
+    counts = np.zeros(max((r["source"] + 1 for r in found), default=0), np.int64)
     for r in found:
-        counts[r["_source"]] = r["n"]
+        counts[r["source"]] = r["n"]
     rows = int(counts.sum())
     matrix = communication_matrix(counts, shard_sizes(rows, shards), seed)
     bounds = spark.sparkContext.broadcast(np.cumsum(matrix, axis=1))
@@ -73,8 +75,14 @@ def shuffle_into_shards(df: DataFrame, shards: int, seed: int = 0) -> DataFrame:
     def shard_of(block: pd.Series, place: pd.Series) -> pd.Series:
         return pd.Series((bounds.value[block.to_numpy()] <= place.to_numpy()[:, None]).sum(1).astype(np.int32))
 
-    dealt = source.withColumn("shard", shard_of("_source", "_at")).drop("_source", "_at")
-    return number_rows(dealt, "shard", [F.col("_shard_second"), F.col("_shard_row")], "slot", rows).drop("_shard_row", "_shard_second")
+    dealt = source.withColumn("shard", shard_of(source_, at_)).drop(source_, at_)
+    return number_rows(dealt, "shard", [F.col(second_), F.col(row_)], "slot", rows).drop(row_, second_)
+
+
+def _comparable(field: T.StructField) -> Column:
+    """The column, or its JSON where it holds a map, which can be neither hashed nor sorted."""
+    column = F.col(f"`{field.name}`")
+    return F.to_json(F.struct(column)) if "map<" in field.dataType.simpleString() else column
 
 
 @register("op3_shards")
