@@ -2,6 +2,7 @@ import random
 from collections import defaultdict
 from hashlib import sha256
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -119,6 +120,80 @@ def test_blocks_without_a_class_add_no_links(spark, monkeypatch):
     assert got == brute_classes(rows)
 
 
+def test_rows_that_share_an_id(spark):
+    rnd = random.Random(5)
+    first, second = ([f"w{rnd.randrange(10**6)}" for _ in range(80)] for _ in range(2))
+    rows = [(1, first), (1, second), (2, [*first, "more"]), (3, [*second, "other"]), (3, [*second, "other"]), (4, second[:50])]
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in rows], "doc_id bigint, text string").repartition(3)
+    got = sorted(tuple(r) for r in jaccard_classes(docs).collect())
+    assert got == [(1, 1, 2, 1), (1, 1, 3, 2), (2, 1, 2, 1), (3, 1, 3, 2), (3, 1, 3, 2), (4, 4, 1, 0)]
+    assert sorted((r["doc_id"], r["text"]) for r in keep_one(docs).collect()) == sorted((i, " ".join(t)) for i, t in (rows[0], rows[1], rows[5]))
+
+
+def test_one_text_of_a_class_under_one_id_stays(spark):
+    words = [f"w{k}" for k in range(60)]
+    docs = spark.createDataFrame([(1, " ".join(words)), (1, " ".join([*words, "end"])), (1, " ".join([*words, "end"]).upper())], "doc_id bigint, text string")
+    assert keep_one(docs).count() == 1
+    assert {tuple(r) for r in jaccard_classes(docs).collect()} == {(1, 1, 3, 2)}
+
+
+def template_family(members, rnd):
+    """Texts of which a third of the n-grams is common; one in ten has a close copy."""
+    common = [f"t{k}" for k in range(84)]
+    rows = []
+    for n in range(members):
+        own = [f"u{rnd.randrange(10**9)}" for _ in range(76)]
+        rows.append((len(rows), common + own))
+        if n % 10 == 0:
+            near = list(own)
+            for _ in range(3):
+                near[rnd.randrange(76)] = f"u{rnd.randrange(10**9)}"
+            rows.append((len(rows), common + near))
+    rnd.shuffle(rows)
+    return [(i, " ".join(t)) for i, t in rows]
+
+
+def test_large_template_family_loses_no_link(spark):
+    rows = template_family(3000, random.Random(12))
+    grams = {i: {tuple(t.split()[k : k + 5]) for k in range(156)} for i, t in rows}
+    holders = defaultdict(list)
+    for i, g in grams.items():
+        for x in g:
+            holders[x].append(i)
+    # n-grams of the template alone give 80 / 232, so linked texts share another one
+    pairs = {(a, b) for ids in holders.values() if len(ids) < 100 for a in ids for b in ids if a < b}
+    links = {p for p in pairs if 5 * len(grams[p[0]] & grams[p[1]]) >= 4 * len(grams[p[0]] | grams[p[1]])}
+    assert len(links) > 150
+    got = {r["doc_id"]: (r["class_id"], r["n_links"]) for r in jaccard_classes(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)).collect()}
+    least = least_members(list(grams), links)
+    assert got == {i: (least[i], sum(i in p for p in links)) for i in grams}
+
+
+@pytest.mark.parametrize("stretch", [40, 900])
+def test_every_shared_prefix_is_compared_or_linked(spark, monkeypatch, stretch):
+    """Over several partitions and rounds of their ends, with stretches longer than the neighbours compared."""
+    monkeypatch.setattr(ngram_join, "ENDS", 100)
+    rnd = np.random.default_rng(stretch)
+    n = 900
+    labels = rnd.integers(0, 1 << 16, (n, ngram_join.TREES, ngram_join.DEPTH)).astype(">u2")
+    labels[:, 0, :4] = (np.arange(n) // stretch)[:, None]  # equal in one tree only
+    sketch = rnd.integers(0, 256, (n, 64)).astype(np.uint8)
+    for a in range(0, n - 37, 37):  # alike, but far from each other in the list
+        sketch[a + 36] = sketch[a]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        rows = [(k, labels[k].tobytes(), sketch[k].tobytes()) for k in range(n)]
+        got = ngram_join.candidate_links(spark.createDataFrame(rows, "rep bigint, labels binary, sketch binary"), 0.8, 0.9995).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    least = least_members(range(n), [(r["a"], r["b"]) for r in got])
+    for a in range(n):
+        for b in range(a + 1, n):
+            if a // stretch == b // stretch and (sketch[a] == sketch[b]).mean() >= 0.8:
+                assert least[a] == least[b]
+    assert all(a // stretch == b // stretch for a, b in ((r["a"], r["b"]) for r in got))
+
+
 def test_odd_documents(odd_docs, no_docs):
     got = sorted((str(r["doc_id"]), str(r["class_id"]), r["class_size"], r["n_links"]) for r in jaccard_classes(odd_docs).collect())
     want = [("1", "1", 2, 1), ("2", "1", 2, 1), ("3", "3", 1, 0), ("4", "4", 1, 0), ("5", "5", 1, 0), ("6", "6", 2, 1), ("6", "6", 2, 1), ("7", "7", 2, 1), ("8", "7", 2, 1),

@@ -6,7 +6,8 @@
    prefix trie out as a list, in which the longest matches stand next to each other. Long matches are
    taken as they are. Shorter prefixes are looked at only down to the length at which the trees
    together find a pair of the least similarity with the target recall, and a pair that matches on a
-   short prefix must also agree in its sketch.
+   short prefix must also agree in its sketch. Where more than ``NEAR`` classes share a short prefix,
+   they are all linked instead.
 3. The matches' connected components are cut into blocks of bounded size, and every pair of blocks of
    a component is compared exactly by its n-grams inside one task. A task gives out one row per class:
    the number of its links and its root among them, never the pairs.
@@ -37,9 +38,11 @@ FIRM = 6
 SKETCHED = 4
 #: Standard deviations by which a sketch may fall short of the similarity.
 SLACK = 4.0
-#: Neighbours in a tree's list that are compared on a short prefix. Longer stretches stay connected
-#: through the members between them.
+#: Neighbours in a tree's list that are compared on a short prefix. A longer stretch of one such prefix
+#: is linked as a whole, so that no pair in it depends on its distance.
 NEAR = 16
+#: Rows of partition ends that one task joins.
+ENDS = 100_000
 #: Classes and n-grams of one block.
 BLOCK_CLASSES = 512
 BLOCK_GRAMS = 1 << 19
@@ -70,6 +73,10 @@ def _gram_sets(texts: list[str], width: int) -> tuple[np.ndarray, np.ndarray]:
     return g, np.searchsorted(o, np.arange(len(texts) + 1))
 
 
+def _key(grams: np.ndarray) -> bytes:
+    return hashlib.blake2b(grams.tobytes(), digest_size=16).digest()
+
+
 def min_hashes(grams: np.ndarray, firsts: np.ndarray) -> np.ndarray:
     """One row per set: its ``TREES * DEPTH`` min-hashes (upper 32 bits); zeros for an empty set."""
     out = np.zeros((len(firsts) - 1, TREES * DEPTH), np.uint32)
@@ -81,7 +88,7 @@ def min_hashes(grams: np.ndarray, firsts: np.ndarray) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, width: int = WIDTH) -> DataFrame:
-    """``doc_id, key, grams, labels, sketch``: one row per document; ``key`` is null without words."""
+    """``doc_id, mark, key, grams, labels, sketch`` of ``doc_id, text, mark``; ``key`` is null without words."""
 
     def sign(batches):
         for batch in slices(batches):
@@ -92,15 +99,19 @@ def signatures(docs: DataFrame, width: int = WIDTH) -> DataFrame:
                 mins = min_hashes(g, firsts).reshape(-1, TREES, DEPTH)
                 labels = (mins >> np.uint32(16)).astype(">u2")  # big-endian, so that bytes sort as the numbers do
                 sketch = (mins[:, :, :SKETCHED] & np.uint32(0xFF)).astype(np.uint8).reshape(len(sizes), -1)
-                keys = [hashlib.blake2b(g[a:b].tobytes(), digest_size=16).digest() if b > a else None for a, b in zip(firsts[:-1], firsts[1:], strict=True)]
+                keys = [_key(g[a:b]) if b > a else None for a, b in zip(firsts[:-1], firsts[1:], strict=True)]
                 columns = [pa.array(keys, pa.binary()), pa.array(sizes, pa.int64()), pa.array([x.tobytes() for x in labels], pa.binary()), pa.array([x.tobytes() for x in sketch], pa.binary())]
-                yield pa.RecordBatch.from_arrays([batch.column(0)[lo:hi], *columns], names=["doc_id", "key", "grams", "labels", "sketch"])
+                yield pa.RecordBatch.from_arrays([batch.column(0)[lo:hi], batch.column(2)[lo:hi], *columns], names=["doc_id", "mark", "key", "grams", "labels", "sketch"])
 
-    return docs.mapInArrow(sign, "doc_id bigint, key binary, grams bigint, labels binary, sketch binary")
+    return docs.mapInArrow(sign, "doc_id bigint, mark bigint, key binary, grams bigint, labels binary, sketch binary")
 
 
 def _matches(ids: np.ndarray, labels: np.ndarray, sketch: np.ndarray, depth: int, least: float) -> np.ndarray:
-    """Pairs among sorted rows of one or several trees (the first byte of a label is its tree)."""
+    """Links among sorted rows of one or several trees (the first byte of a label is its tree).
+
+    Any two rows with a common prefix of ``depth`` are either compared by their sketches or linked
+    through all rows between them.
+    """
     found = []
     for gap in range(1, min(NEAR, len(ids) - 1) + 1):
         same = labels[gap:] == labels[:-gap]
@@ -109,6 +120,9 @@ def _matches(ids: np.ndarray, labels: np.ndarray, sketch: np.ndarray, depth: int
         if not ok.any():
             break  # rows further apart share no more
         at = np.flatnonzero(ok)
+        if gap == NEAR:  # a long stretch: each window of it is linked from row to row
+            steps = np.unique((at[:, None] + np.arange(NEAR)).ravel())
+            found.append(np.stack((ids[steps], ids[steps + 1]), 1))
         firm = (shared[at] >= 2 * FIRM) if gap == 1 else np.zeros(len(at), bool)
         agree = (sketch[at] == sketch[at + gap]).mean(1)
         at = at[firm | (agree >= least)]
@@ -116,51 +130,56 @@ def _matches(ids: np.ndarray, labels: np.ndarray, sketch: np.ndarray, depth: int
     return np.concatenate(found) if found else np.empty((0, 2), np.int64)
 
 
-def candidate_links(classes: DataFrame, similarity: float, recall: float) -> DataFrame:
-    """``a, b``: links whose components hold every pair that the forest finds."""
-    depth = prefix_length(similarity, recall)
-    # what two random bytes share by chance is part of the agreement
-    sure = similarity + (1 - similarity) / 256
-    least = sure - SLACK * (sure * (1 - sure) / (TREES * SKETCHED)) ** 0.5
-    tree = lambda t: F.concat(F.unhex(F.lit(f"{t:02x}")), F.substring("labels", 2 * DEPTH * t + 1, 2 * DEPTH))
-    rows = classes.select("rep", "sketch", F.explode(F.array(*(tree(t) for t in range(TREES)))).alias("label"))
-    # the representative is the last key, so that a label of very many classes is spread as well
-    laid = rows.repartitionByRange("label", "rep").sortWithinPartitions("label", "rep")
+def _matched(rows: DataFrame, depth: int, least: float) -> DataFrame:
+    """Links (kind 0), and the first and last rows of each partition (kind 1), of sorted ``rep, sketch, label``."""
     size, sketch_size = 2 * DEPTH + 1, TREES * SKETCHED
 
     def match(batches):
-        tail = None
-        first = True
-        edge = lambda kind, i, lab, sk: [kind, int(i), lab.tobytes(), sk.tobytes()]
+        tail, heads = None, 0
         for batch in batches:
             if not batch.num_rows:
                 continue
             ids = batch.column(0).to_numpy()
             labels = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.uint8).reshape(-1, size)
             sketch = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint8).reshape(-1, sketch_size)
+            out = _ends(ids[: NEAR - heads], labels, sketch)
+            heads += len(out)
             if tail is not None:
                 ids, labels, sketch = (np.concatenate(x) for x in zip(tail, (ids, labels, sketch), strict=True))
             pairs = np.unique(_matches(ids, labels, sketch, depth, least), axis=0)
-            rows = [[0, a, None, None, b] for a, b in pairs.tolist()]
-            if first:  # what the end of the partition before is compared with
-                rows += [[*edge(1, *x), None] for x in zip(ids[:NEAR], labels[:NEAR], sketch[:NEAR], strict=True)]
-                first = False
             tail = (ids[-NEAR:], labels[-NEAR:], sketch[-NEAR:])
-            yield _links_batch(rows)
+            yield _links_batch(out + [[0, a, None, None, b] for a, b in pairs.tolist()])
         if tail is not None:
-            yield _links_batch([[*edge(2, *x), None] for x in zip(*tail, strict=True)])
-
-    found = materialize(laid.mapInArrow(match, "kind int, a bigint, label binary, sketch binary, b bigint"), "matches")
-    # a few rows of each partition, to join the ends of neighbouring partitions
-    ends = found.filter("kind > 0").dropDuplicates(["a", "label"]).select("a", "label", "sketch").orderBy("label", "a").collect()
-    extra = []
-    if len(ends) > 1:
-        ids = np.array([r["a"] for r in ends], np.int64)
-        labels = np.frombuffer(b"".join(bytes(r["label"]) for r in ends), np.uint8).reshape(-1, size)
-        sketch = np.frombuffer(b"".join(bytes(r["sketch"]) for r in ends), np.uint8).reshape(-1, sketch_size)
-        extra = _matches(ids, labels, sketch, depth, least).tolist()
+            yield _links_batch(_ends(*tail))
+
+    return rows.mapInArrow(match, "kind int, a bigint, label binary, sketch binary, b bigint")
+
+
+def candidate_links(classes: DataFrame, similarity: float, recall: float) -> DataFrame:
+    """``a, b``: links whose components hold every pair that the forest finds."""
+    depth = prefix_length(similarity, recall)
+    # what two random bytes share by chance is part of the agreement
+    sure = similarity + (1 - similarity) / 256
+    least = sure - SLACK * (sure * (1 - sure) / (TREES * SKETCHED)) ** 0.5
+    tree = lambda t: F.concat(F.unhex(F.lit(f"{t:02x}")), F.substring("labels", 2 * DEPTH * t + 1, 2 * DEPTH))
+    rows = classes.select("rep", "sketch", F.explode(F.array(*(tree(t) for t in range(TREES)))).alias("label"))
+    # the representative is the last key, so that a label of very many classes is spread as well
+    laid = rows.repartitionByRange("label", "rep").sortWithinPartitions("label", "rep")
+    found = materialize(_matched(laid, depth, least), "matches")
     links = found.filter("kind = 0").select("a", "b")
-    return links.unionByName(classes.sparkSession.createDataFrame(extra, "a bigint, b bigint")) if extra else links
+    # the ends of all partitions, in order, are such a list too, only shorter each time
+    while True:
+        ends = found.filter("kind = 1").select(F.col("a").alias("rep"), "sketch", "label").dropDuplicates(["label", "rep"])
+        parts = -(-ends.count() // ENDS) or 1
+        laid = (ends.repartitionByRange(parts, "label", "rep") if parts > 1 else ends.coalesce(1)).sortWithinPartitions("label", "rep")
+        found = materialize(_matched(laid, depth, least), "end-matches")
+        links = links.unionByName(found.filter("kind = 0").select("a", "b"))
+        if parts == 1:
+            return links
+
+
+def _ends(ids: np.ndarray, labels: np.ndarray, sketch: np.ndarray) -> list[list]:
+    return [[1, int(i), label.tobytes(), part.tobytes(), None] for i, label, part in zip(ids, labels, sketch, strict=False)]
 
 
 def _links_batch(rows: list[list]) -> pa.RecordBatch:
@@ -256,15 +275,23 @@ def jaccard_classes(
     links lead to, ``class_size`` the documents of that class. Texts with fewer words than ``width``
     have one n-gram of all their words. Texts without words (null, empty, signs only) have no links
     and are classes of their own, as are rows without an id, whose class is null. A repeated row is a
-    copy like others. Sets are compared by 64-bit hashes of their n-grams.
+    copy like others, and rows that share an id are told apart by their texts. Sets are compared by 64-bit hashes of their n-grams.
     """
-    source = id_and_text(docs, id_col, text_col).withColumn("doc_id", F.col("doc_id").cast("bigint"))
+    return _classified(docs, width, similarity, recall, id_col, text_col).select("doc_id", "class_id", "class_size", "n_links")
+
+
+def _classified(docs: DataFrame, width: int, similarity: float, recall: float, id_col: str, text_col: str) -> DataFrame:
+    """The rows of ``jaccard_classes`` with ``mark``, the hash of the text, and ``kept``, one text of each class."""
+    source = id_and_text(docs, id_col, text_col).select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", F.xxhash64("text").alias("mark"))
     signed = materialize(signatures(source, width), "signatures")
     known = signed.filter("key IS NOT NULL AND doc_id IS NOT NULL")
+    # a class goes by a number of its own, unique as it is written once; ids may repeat with other texts
     classes = materialize(
-        known.groupBy("key").agg(
-            F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("grams").alias("grams"), F.first("labels").alias("labels"), F.first("sketch").alias("sketch")
-        ),
+        known.groupBy("key")
+        .agg(
+            F.min(F.struct("doc_id", "mark")).alias("least"), F.count(F.lit(1)).alias("copies"), F.first("grams").alias("grams"), F.first("labels").alias("labels"), F.first("sketch").alias("sketch")
+        )
+        .withColumn("rep", F.monotonically_increasing_id()),
         "gram-classes",
     )
     groups = components(candidate_links(classes, similarity, recall))
@@ -283,46 +310,57 @@ def jaccard_classes(
         F.concat_ws(" ", "component", F.least("block", "other"), F.greatest("block", "other")).alias("task"),
         (F.col("block") != F.col("other")).cast("int").alias("apart"), (F.col("block") > F.col("other")).cast("int").alias("part"), "component", "rep", "copies",
     )
-    sets = materialize(_sets_of(source, grouped.select("rep"), width), "gram-sets")
+    sets = materialize(_sets_of(source, classes.join(grouped.select("rep"), "rep", "left_semi"), width), "gram-sets")
     members = alone.unionByName(paired).join(sets, "rep").select("task", "apart", "part", "component", "rep", "copies", "set")
     checked = materialize(verify(members, similarity), "verified")
     final = components(checked.select(F.col("rep").alias("a"), F.col("root").alias("b")))
     links = checked.groupBy("rep").agg(F.sum("links").alias("links")).withColumnRenamed("rep", "_linked")
-    own = classes.select("key", "rep", "copies").join(links, F.col("rep") == F.col("_linked"), "left")
-    own = own.join(final, F.col("rep") == F.col("node"), "left").select("key", "copies", F.coalesce("component", "rep").alias("class_id"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
+    own = classes.select("key", "rep", "copies", "least").join(links, F.col("rep") == F.col("_linked"), "left")
+    own = own.join(final, F.col("rep") == F.col("node"), "left").select(
+        "key", "copies", "least", F.coalesce("component", "rep").alias("group"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")
+    )
     own = materialize(own, "linked")
-    totals = own.groupBy("class_id").agg(F.sum("copies").alias("class_size")).withColumnRenamed("class_id", "_of")
-    facts = materialize(own.join(totals, F.col("class_id") == F.col("_of")).select(F.col("key").alias("_key"), "class_id", "class_size", "n_links"), "facts")
+    totals = own.groupBy("group").agg(F.sum("copies").alias("class_size"), F.min("least").alias("first")).withColumnRenamed("group", "_of")
+    facts = materialize(own.join(totals, F.col("group") == F.col("_of")).select(F.col("key").alias("_key"), "first", "class_size", "n_links"), "facts")
     idless = F.col("doc_id").isNull()
-    alone = F.col("class_id").isNull() | idless
+    alone = F.col("first").isNull() | idless
     return signed.join(facts, F.col("key") == F.col("_key"), "left").select(
         "doc_id",
-        F.when(alone, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
+        F.when(alone, F.col("doc_id")).otherwise(F.col("first.doc_id")).alias("class_id"),
         F.when(alone, F.lit(1)).otherwise(F.col("class_size")).cast("long").alias("class_size"),
         F.when(alone, F.lit(0)).otherwise(F.col("n_links")).cast("long").alias("n_links"),
+        "mark",
+        (alone | (F.struct("doc_id", "mark") == F.col("first"))).alias("kept"),
     )
 
 
-def _sets_of(source: DataFrame, reps: DataFrame, width: int) -> DataFrame:
-    """``rep, set``: n-gram hashes of the classes that were matched, from their texts."""
-    texts = source.join(reps, source["doc_id"] == reps["rep"]).select("rep", "text")
+def _sets_of(source: DataFrame, classes: DataFrame, width: int) -> DataFrame:
+    """``rep, set``: n-gram hashes of the classes that were matched, from the text of their least row."""
+    wanted = classes.select("rep", "key", F.col("least.doc_id").alias("_id"), F.col("least.mark").alias("_mark"))
+    texts = source.join(wanted, (source["doc_id"] == F.col("_id")) & (source["mark"] == F.col("_mark"))).select("rep", "text", "key")
 
     def cut(batches):
         for batch in slices(batches):
             texts = texts_of(batch.column(1))
             for lo, hi in chunks(texts):
                 g, firsts = _gram_sets(texts[lo:hi], width)
-                parts = pa.array([g[a:b].tobytes() for a, b in zip(firsts[:-1], firsts[1:], strict=True)], pa.binary())
-                yield pa.RecordBatch.from_arrays([batch.column(0)[lo:hi], parts], names=["rep", "set"])
+                sets = [g[a:b] for a, b in zip(firsts[:-1], firsts[1:], strict=True)]
+                # another text of that id with the same mark is left out
+                right = pa.array([_key(x) == k for x, k in zip(sets, batch.column(2)[lo:hi].to_pylist(), strict=True)], pa.bool_())
+                whole = pa.RecordBatch.from_arrays([batch.column(0)[lo:hi], pa.array([x.tobytes() for x in sets], pa.binary())], names=["rep", "set"])
+                yield whole.filter(right)
 
     return texts.mapInArrow(cut, "rep bigint, set binary").dropDuplicates(["rep"])
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The document with the least id of each class, with all columns; texts without words all stay."""
-    classes = jaccard_classes(docs)
-    gone = classes.filter("doc_id <> class_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+    """The document with the least id of each class, with all columns; texts without words all stay.
+
+    Repeated rows of the document that stays all stay; of other texts under its id none does.
+    """
+    rows = _classified(docs, WIDTH, SIMILARITY, RECALL, "doc_id", "text")
+    gone = rows.filter("NOT kept").select(F.col("doc_id").alias("_gone"), F.col("mark").alias("_mark")).distinct()
+    return docs.join(gone, (docs["doc_id"].cast("bigint") == gone["_gone"]) & (F.xxhash64(docs["text"].cast("string")) == gone["_mark"]), "left_anti")
 
 
 _WORDS = r"regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+')"
