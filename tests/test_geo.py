@@ -1,9 +1,11 @@
 import math
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from textloom.functions import geo
+from textloom.operators.completion import geo_cell, near_cells
 
 
 def metres(a, b, c, d):
@@ -29,3 +31,20 @@ def test_ranges_of_longitude():
     assert geo.longitudes(89.0, 0.0, 2e5) is None and len(geo.longitudes(0.0, 179.9, 1e5)) == 2 and len(geo.longitudes(0.0, -179.9, 1e5)) == 2
     ((west, east),) = geo.longitudes(60.0, 10.0, 1e5)
     assert west < 10 - 1.79 and east > 10 + 1.79 and east - west < 3.7
+
+
+@pytest.mark.parametrize("size", [30.0, 50.0, 7.3])
+def test_cells_around_a_point_hold_all_near_points(spark, size):
+    rng = random.Random(8)
+    points = [(rng.uniform(-90, 90), rng.uniform(-180, 180)) for _ in range(150)]
+    points += [(rng.uniform(-90, 90), rng.choice((-180.0, 180.0, 179.99, -179.99, 150.0, -150.0))) for _ in range(60)] + [(90.0, 0.0), (-90.0, 0.0)]
+    frame = spark.createDataFrame(points, "lat double, lon double")
+    rows = frame.select("lat", "lon", geo_cell(F.col("lat"), F.col("lon"), size).alias("cell"), near_cells(F.col("lat"), F.col("lon"), size).alias("near")).collect()
+    for a in rows:
+        assert a["cell"] in a["near"] and len(a["near"]) == len(set(a["near"])) <= 15
+        for b in rows:
+            apart = abs(a["lon"] - b["lon"])
+            if abs(a["lat"] - b["lat"]) <= size and min(apart, 360 - apart) <= size:
+                assert b["cell"] in a["near"]
+    nothing = spark.range(1).select(near_cells(F.lit(None).cast("double"), F.lit(1.0), size).alias("near"))
+    assert nothing.first()["near"] is None

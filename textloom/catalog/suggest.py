@@ -96,6 +96,28 @@ def completion_geo(spark, sf):
     return G.completions_in_context(base, queries, size=3).withColumn("rank", F.col("rank").cast("bigint"))
 
 
+_PLACES = "SELECT CAST(s_suppkey AS VARCHAR) AS _id, s_name AS input, CAST(floor(s_acctbal) AS INTEGER) AS weight, CAST(floor((s_suppkey * 37 % 180 - 90) / 30.0) AS BIGINT) AS i, CAST(floor((s_suppkey * 53 % 360 - 180) / 30.0) AS BIGINT) AS j FROM supplier"
+
+
+@register(
+    "completion_geo_near",
+    f"WITH s AS ({_PLACES}) "
+    + _BEST.format(
+        inner="SELECT c.i || '/' || c.j AS suggester_id, s._id, s.input, s.weight FROM (SELECT DISTINCT i, j FROM s) c JOIN s ON abs(s.i - c.i) <= 1 AND least(abs(s.j - c.j), 12 - abs(s.j - c.j)) <= 1 WHERE starts_with(lower(s.input), 'supplier#0')", k=3
+    ),
+)
+def completion_geo_near(spark, sf):
+    """The best suppliers of every grid cell and the cells around it, over the date line as well."""
+    k = F.col("s_suppkey")
+    lat, lon = (k * 37 % 180 - 90).cast("double"), (k * 53 % 360 - 180).cast("double")
+    base = table(spark, sf, "supplier").select(
+        k.cast("string").alias("_id"), F.lit("name").alias("field"), F.col("s_name").alias("input"), F.floor("s_acctbal").cast("int").alias("weight"),
+        F.array(G.geo_cell(lat, lon, 30.0)).alias("context"), G.near_cells(lat, lon, 30.0).alias("around"),
+    )
+    queries = base.select(F.col("context")[0].alias("suggester_id"), F.lit("name").alias("field"), F.lit("Supplier#0").alias("prefix"), F.col("around").alias("context")).distinct()
+    return G.completions_in_context(base.drop("around"), queries, size=3).withColumn("rank", F.col("rank").cast("bigint"))
+
+
 _WORDS = "list_transform(regexp_extract_all(p_name, '[\\p{L}\\p{N}]+'), lambda x: lower(x))"
 _TWO = f"CASE WHEN len({_WORDS}) >= 2 THEN list_transform(range(1, len({_WORDS})), lambda i: ({_WORDS})[i] || ' ' || ({_WORDS})[i + 1]) ELSE [] END"
 

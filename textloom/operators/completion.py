@@ -7,6 +7,8 @@ third of all inputs leaves each task as ``size`` rows.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
@@ -69,3 +71,20 @@ def geo_cell(lat: Column, lon: Column, precision: float) -> Column:
     """Name of the grid cell of a point; ``precision`` is the cell size in degrees."""
     cell = lambda x: F.floor(x / F.lit(float(precision))).cast("string")
     return F.concat_ws("/", cell(lat), cell(lon))
+
+
+def near_cells(lat: Column, lon: Column, precision: float) -> Column:
+    """Names of the grid cells around a point, its own included, as accepted values of a geo context.
+
+    They hold every point whose latitude and longitude differ by at most ``precision`` degrees from
+    the given ones, over the date line as well. Null where the point lacks a coordinate.
+    """
+    size = float(precision)
+    south, north, west, east = (math.floor(x / size) for x in (-90, 90, -180, 180))
+    i, j = (F.floor(x / F.lit(size)) for x in (lat, lon))
+    rows = F.filter(F.sequence(i - 1, i + 1), lambda x: x.between(south, north))
+    # the cells on both sides of the date line can be narrower than the others
+    over = lambda here, *there: F.when(here, F.array(*(F.lit(c).cast("bigint") for c in there))).otherwise(F.array().cast("array<bigint>"))
+    wrapped = F.concat(over(j <= west + 1, east), over(j == west, east - 1), over(j >= east - 1, west), over(j == east, west + 1))
+    columns = F.array_distinct(F.concat(F.filter(F.sequence(j - 1, j + 1), lambda x: x.between(west, east)), wrapped))
+    return F.flatten(F.transform(rows, lambda x: F.transform(columns, lambda y: F.concat_ws("/", x.cast("string"), y.cast("string")))))
