@@ -194,6 +194,34 @@ def test_every_shared_prefix_is_compared_or_linked(spark, monkeypatch, stretch):
     assert all(a // stretch == b // stretch for a, b in ((r["a"], r["b"]) for r in got))
 
 
+def test_chains_keep_the_components():
+    rnd = random.Random(8)
+    for links in ([], [(5, 5)], [(k, k + 1) for k in range(50, 0, -1)], [(rnd.randrange(300), rnd.randrange(300)) for _ in range(200)] * 2):
+        nodes = {x for link in links for x in link}
+        chains = ngram_join._chains(np.array(links, np.int64).reshape(-1, 2)).tolist()
+        least = least_members(nodes, links)
+        assert least_members(nodes, chains) == least
+        assert len(chains) == len(nodes) - len(set(least.values()))
+
+
+def test_links_grow_with_the_members_of_a_family(spark):
+    """In batches of any number of trees: one link per class and tree at most, not one per pair of neighbours."""
+    rnd = random.Random(21)
+    base, rows = [f"w{rnd.randrange(10**6)}" for _ in range(150)], []
+    for k in range(400):
+        copy = list(base)
+        copy[rnd.randrange(150)] = f"own{k}"
+        rows.append((k, " ".join(copy)))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    classes = ngram_join.signatures(docs.withColumn("mark", F.xxhash64("text"))).select(F.col("doc_id").alias("rep"), "labels", "sketch")
+    links = {(r["a"], r["b"]) for r in ngram_join.candidate_links(classes, 0.8, 0.9995).collect()}
+    assert set(least_members(range(400), links).values()) == {0}
+    assert len(links) <= ngram_join.TREES * len(rows)
+    got = {r["doc_id"]: (r["class_id"], r["class_size"], r["n_links"]) for r in jaccard_classes(docs).collect()}
+    assert got == brute_classes(rows)
+    assert [r["doc_id"] for r in keep_one(docs).collect()] == [0]
+
+
 def test_odd_documents(odd_docs, no_docs):
     got = sorted((str(r["doc_id"]), str(r["class_id"]), r["class_size"], r["n_links"]) for r in jaccard_classes(odd_docs).collect())
     want = [("1", "1", 2, 1), ("2", "1", 2, 1), ("3", "3", 1, 0), ("4", "4", 1, 0), ("5", "5", 1, 0), ("6", "6", 2, 1), ("6", "6", 2, 1), ("7", "7", 2, 1), ("8", "7", 2, 1),

@@ -7,7 +7,8 @@
    taken as they are. Shorter prefixes are looked at only down to the length at which the trees
    together find a pair of the least similarity with the target recall, and a pair that matches on a
    short prefix must also agree in its sketch. Where more than ``NEAR`` classes share a short prefix,
-   they are all linked instead.
+   they are all linked instead. Only components count later on, so a batch of the list gives out one
+   chain per component of its matches, which has fewer links than classes.
 3. The matches' connected components are cut into blocks of bounded size, and every pair of blocks of
    a component is compared exactly by its n-grams inside one task. A task gives out one row per class:
    the number of its links and its root among them, never the pairs.
@@ -130,6 +131,21 @@ def _matches(ids: np.ndarray, labels: np.ndarray, sketch: np.ndarray, depth: int
     return np.concatenate(found) if found else np.empty((0, 2), np.int64)
 
 
+def _chains(links: np.ndarray) -> np.ndarray:
+    """Links with the components of the given ones: each member with the next larger one, so fewer than members."""
+    nodes, ends = np.unique(links, return_inverse=True)
+    a, b = ends.reshape(-1, 2).T
+    root = np.arange(len(nodes))
+    while (apart := root[a] != root[b]).any():
+        x, y = root[a[apart]], root[b[apart]]
+        np.minimum.at(root, np.maximum(x, y), np.minimum(x, y))
+        while (root[root] != root).any():
+            root = root[root]
+    order = np.argsort(root, kind="stable")
+    same = np.flatnonzero(root[order[1:]] == root[order[:-1]])
+    return np.stack((nodes[order[same]], nodes[order[same + 1]]), 1)
+
+
 def _matched(rows: DataFrame, depth: int, least: float) -> DataFrame:
     """Links (kind 0), and the first and last rows of each partition (kind 1), of sorted ``rep, sketch, label``."""
     size, sketch_size = 2 * DEPTH + 1, TREES * SKETCHED
@@ -146,9 +162,9 @@ def _matched(rows: DataFrame, depth: int, least: float) -> DataFrame:
             heads += len(out)
             if tail is not None:
                 ids, labels, sketch = (np.concatenate(x) for x in zip(tail, (ids, labels, sketch), strict=True))
-            pairs = np.unique(_matches(ids, labels, sketch, depth, least), axis=0)
+            links = _chains(_matches(ids, labels, sketch, depth, least))
             tail = (ids[-NEAR:], labels[-NEAR:], sketch[-NEAR:])
-            yield _links_batch(out + [[0, a, None, None, b] for a, b in pairs.tolist()])
+            yield _links_batch(out + [[0, a, None, None, b] for a, b in links.tolist()])
         if tail is not None:
             yield _links_batch(_ends(*tail))
 
