@@ -111,6 +111,24 @@ def test_of_many_writers_of_a_version_one_succeeds(spark):
     assert state(Collection.open(spark, index.path)) == expected({"0": ("a", 0), str(winner): (f"w{winner}", winner)})
 
 
+def test_writers_at_one_moment_leave_a_whole_version(spark, tmp_path):
+    """Many rounds: one writer wins, and the version that stands is the winner's."""
+
+    def attempt(path, k):
+        try:
+            versions.publish(spark, path, 1, {"writer": k, "text": "x" * 2000 * k})
+            return k
+        except versions.VersionExists:
+            return None
+
+    with ThreadPoolExecutor(8) as pool:
+        for turn in range(100):
+            path = str(tmp_path / str(turn))
+            (tmp_path / str(turn) / "meta").mkdir(parents=True)
+            won = [k for k in pool.map(lambda k, path=path: attempt(path, k), range(1, 9)) if k]
+            assert [versions.read(spark, path, 1)["writer"]] == won and versions.newest(spark, path) == 1
+
+
 def test_bulk_put_changes_all_targets_or_none(spark, monkeypatch):
     targets = {n: make(spark, [], n) for n in ("a", "b")}
     batch = spark.createDataFrame([("a", "1", "x", 1), ("b", "2", "y", 2)], "_index string, " + SCHEMA)
