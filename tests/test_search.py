@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from textloom.catalog.indexes import index_for
-from textloom.operators import batch as B, completion as G
+from textloom.operators import analyzers as A, batch as B, completion as G
 from textloom.plans import compile as plan, flows, queries as Q, search as R
 from textloom.plans.mapping import Field, Mapping
 from textloom.session import new_table_path
@@ -345,3 +345,22 @@ def test_a_change_writes_its_batch_only(spark):
         for w in ("changed", "new", "word5", "word6", "back"):
             assert found(w) == sorted(i for i, (t, _) in plain.items() if w in t.split())
     assert state.base == state.version == 6
+
+
+def test_texts_are_analyzed_once_and_pairs_are_not_shuffled(spark):
+    docs = spark.createDataFrame([(str(i), f"alpha w{i % 7} beta") for i in range(40)] + [("none", None), ("empty", "")], "_id string, text string")
+    for options in ("positions", "docs"):
+        fields = C.text_fields(Mapping((Field("text", "text", index_options=options),)), A.AnalysisSettings())
+        forward = C.forward_table(docs, fields)
+        assert forward._jdf.queryExecution().executedPlan().toString().count("regexp_extract_all(") == 1
+        found = {r["_id"]: r for r in forward.collect()}
+        assert "none" not in found and found["empty"]["dl"] == 0 and found["empty"]["terms"] == [] and found["3"]["dl"] == 3 and len(found["3"]["terms"]) == 3
+    index = Collection.create(spark, new_table_path(spark, "dealt"), docs, Mapping((Field("text", "text"),)), buckets=4)
+    queries = spark.createDataFrame([(i, f"alpha w{i}") for i in range(9)] + [(9, "alpha w0"), (10, "nothing")], "query_id int, text string")
+    found = B.batch_search(index, queries, "text", k=3)
+    plan_text = found._jdf.queryExecution().executedPlan().toString()
+    assert not re.search(r"Exchange hashpartitioning\(query_id#\d+L?, _id", plan_text)
+    best = {}
+    for r in found.orderBy("query_id", "rank").collect():
+        best.setdefault(r["query_id"], []).append(r["_id"])
+    assert sorted(best) == list(range(10)) and best[0] == best[9] == ["0", "14", "21"] and best[3] == ["10", "17", "24"]
