@@ -1,3 +1,5 @@
+import hashlib
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -212,3 +214,19 @@ def test_values_keep_their_gap(spark):
     df = spark.createDataFrame([(["a b", "", "c", "d"],)], "v array<string>")
     rows = df.select(std().values(F.col("v")).alias("t")).first()["t"]
     assert [(t["token"], t["position"]) for t in rows] == [("a", 0), ("b", 1), ("c", 102), ("d", 203)]
+
+
+def test_smallest_hashes_are_converted_once(spark):
+    texts = {"a": "one two three four five six", "b": "one two three", "c": "one two", "d": "", "e": None, "f": "x " * 40 + "y z"}
+    an = std(TF.Shingle(3, 3, False), TF.MinHash(hash_count=9, bucket_count=1))
+    df = spark.createDataFrame(list(texts.items()), "_id string, text string").select("_id", F.transform(an.array(F.col("text")), lambda t: t["token"]).alias("w"))
+    for r in df.collect():
+        ws = (texts[r["_id"]] or "").split()
+        grams = {" ".join(ws[i : i + 3]) for i in range(len(ws) - 2)}
+        low = lambda s: min(int(hashlib.md5(f"{s // 4}:{g}".encode()).hexdigest()[8 * (s % 4) : 8 * (s % 4) + 8], 16) for g in grams)  # noqa: E731, B023
+        assert r["w"] == ([f"{s}:0:{low(s)}" for s in range(9)] if grams else [])
+    # no number is made of a hash that is not the smallest
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "array_min(transform(" in plan and "lambdafunction(cast(conv(" not in plan
+    shingles = [t["token"] for t in spark.sql("SELECT 1").select(std(TF.Shingle(2, 2, False, "-")).array(F.lit("a b c")).alias("t")).first()["t"]]
+    assert shingles == ["a-b", "b-c"]
